@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import mixing, sharding, url_filter
+from corpusloom.llm import bpe, mixing, sharding, token_counts, url_filter
 
 QUERIES = {
+    "op1_token_counts": token_counts.op1,
     "op2_url_filter": url_filter.op2,
     "op4_source_mixing": mixing.op4,
+    "op9_bpe_codec": bpe.op9,
     "op10_sharding": sharding.op10,
 }
 
