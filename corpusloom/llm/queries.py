@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import bpe, mixing, sharding, token_counts, url_filter
+from corpusloom.llm import bpe, fingerprints, media, mixing, quality, sharding, token_counts, url_filter
 
 QUERIES = {
     "op1_token_counts": token_counts.op1,
     "op2_url_filter": url_filter.op2,
+    "op3_media_chunks": media.op3,
     "op4_source_mixing": mixing.op4,
+    "op7_fingerprints": fingerprints.op7,
+    "op8_quality_classifier": quality.op8,
     "op9_bpe_codec": bpe.op9,
     "op10_sharding": sharding.op10,
 }
