@@ -77,8 +77,8 @@ def judge(pages: DataFrame, rules: DataFrame, *, url_col: str = "url", keep: Seq
     if bounds["n"] <= BROADCAST_RULES:
         spec = F.broadcast(spec)
     else:
-        wide = wide.withColumn("salt", F.pmod(F.xxhash64(*names, "url"), F.lit(SALTS)))
-        spec = spec.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+        wide = wide.withColumn("salt", F.pmod(F.xxhash64(*names, "url"), F.lit(SALTS).cast("long")))
+        spec = spec.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
         on = ["r_prefix", "salt"]
     hit = (F.col("digest") == F.col("r_digest")) & F.startswith(F.col("path"), F.col("r_path"))
     best = F.max(F.when(hit, F.struct((F.length("r_host") + F.length("r_path")).alias("a"), F.length("r_host").alias("b"), (F.col("r_verdict") == "block").alias("c"), F.concat("r_host", "r_path").alias("rule"), F.col("r_verdict").alias("verdict"))))
