@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # What counts as white space (Unicode, also U+001C to U+001F), as a word character, as a mark to drop.
 WS = r"[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
@@ -20,7 +21,7 @@ FOLD_TO = "0123456789اااهي"
 SCRIPT = r"\u0600-\u06ff"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
