@@ -36,9 +36,11 @@ def order_statistics(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, bins: int = 18) -> DataFrame:
-    """bin (1 to bins), n, low, high: equal widths from the least to the greatest value, the last bin closed."""
-    ends = df.agg(F.min(value).alias("low"), F.max(value).alias("high"))
+    """bin (1 to bins), n, low, high: equal widths from the least to the greatest value, the last bin closed. The ends are scalar subqueries."""
     v = F.col(value)
-    one = F.least(F.floor((v - F.col("low")) / ((F.col("high") - F.col("low")) / bins)) + 1, F.lit(bins))
+    ends = df.agg(F.min(value).alias("low"), F.max(value).alias("high"))
+    low, high = ends.select("low").scalar(), ends.select("high").scalar()
+    rows = df.where(v.isNotNull()).select(v.alias("v"), low.alias("low"), high.alias("high"))
+    one = F.least(F.floor((F.col("v") - F.col("low")) / ((F.col("high") - F.col("low")) / bins)) + 1, F.lit(bins))
     spread = F.when(F.col("high") > F.col("low"), one).otherwise(F.lit(1)).cast("int")
-    return df.where(v.isNotNull()).crossJoin(F.broadcast(ends)).groupBy(spread.alias("bin"), "low", "high").agg(F.count("*").alias("n")).select("bin", "n", "low", "high")
+    return rows.groupBy(spread.alias("bin"), "low", "high").agg(F.count("*").alias("n")).select("bin", "n", "low", "high")

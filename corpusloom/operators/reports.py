@@ -26,9 +26,9 @@ def _shares(*names: str):
 
 def summary(quality: DataFrame) -> DataFrame:
     """One row: n, mean, upper median, p90, greatest rate, flagged."""
-    stats = order_statistics(quality.withColumn("__all", F.lit(1)), ["__all"], "cer").drop("__all", "median", "n")
+    stats = order_statistics(quality.withColumn("__all", F.lit(1)), ["__all"], "cer")
     head = quality.agg(F.count("*").alias("n"), F.avg("cer").alias("mean_cer"), F.max("cer").alias("max_cer"), F.count_if(F.col("auto_status") == "flagged").alias("n_flagged"), F.try_divide(F.lit(100.0) * F.count_if(F.col("auto_status") == "flagged"), F.count("*")).alias("pct_flagged"))
-    return head.join(F.broadcast(stats), F.lit(True), "left").select("n", "mean_cer", F.col("upper_median").alias("median_cer"), F.col("p90").alias("p90_cer"), "max_cer", "n_flagged", "pct_flagged")
+    return head.select("n", "mean_cer", stats.select("upper_median").scalar().alias("median_cer"), stats.select("p90").scalar().alias("p90_cer"), "max_cer", "n_flagged", "pct_flagged")
 
 
 def by_voice(rows: DataFrame) -> DataFrame:

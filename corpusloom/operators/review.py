@@ -41,8 +41,8 @@ def next_unreviewed(rows: DataFrame, decisions: DataFrame, at: int) -> DataFrame
 
 def stepped(rows: DataFrame, delta: int) -> DataFrame:
     """position, to: the place ``delta`` further, kept within the queue."""
-    n = rows.agg(F.count("*").alias("n"))
-    return rows.crossJoin(F.broadcast(n)).select("position", F.greatest(F.lit(0), F.least(F.col("position") + delta, F.col("n") - 1)).cast("long").alias("to"))
+    n = rows.agg(F.count("*").alias("n")).scalar()
+    return rows.select("position", F.greatest(F.lit(0), F.least(F.col("position") + delta, n - 1)).cast("long").alias("to"))
 
 
 def decided(rows: DataFrame, decision: str, edited: str | None = None, note: str | None = None) -> DataFrame:
@@ -63,10 +63,10 @@ def progress(rows: DataFrame, decisions: DataFrame) -> DataFrame:
     """reviewed, total and the counts of each decision, latest entries only."""
     last = latest_by(decisions)
     tally = last.agg(F.count("*").alias("reviewed"), *[F.count_if(F.col("decision") == d).alias(f"n_{d}") for d in ("accept", "edit", "reject")])
-    return tally.crossJoin(rows.agg(F.count("*").alias("total")))
+    return tally.withColumn("total", rows.agg(F.count("*").alias("total")).scalar())
 
 
 def cleared_notes(decisions: DataFrame) -> DataFrame:
     """n_entries, n_ids, n_notes: what a compaction reads, keeps and clears."""
     kept = latest_by(decisions).agg(F.count("*").alias("n_ids"), F.count_if(F.coalesce("note", F.lit("")) != "").alias("n_notes"))
-    return decisions.agg(F.count("*").alias("n_entries")).crossJoin(kept)
+    return kept.withColumn("n_entries", decisions.agg(F.count("*").alias("n")).scalar())
