@@ -13,7 +13,7 @@
    in enough minima for the similarity asked for. Candidates grow with classes, not with pairs.
 3. Candidates are confirmed on full shingle sets made from whole texts. First each class's most
    similar partner; then, between components that are still apart, all others.
-4. Components: smallest labels along confirmed links, with pointer jumping.
+4. Components: large and small stars in turn along confirmed links.
 
 Defined cases: a null or blank text has an empty set and is linked with nothing; a text of fewer
 words than a shingle is one shingle; a null id is linked with nothing, has no component and is
@@ -207,19 +207,69 @@ def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
     return both.mapInArrow(run, "a_id long, a_key long, b_id long, b_key long, ok boolean").where("ok").select(_node("a").alias("a"), _node("b").alias("b"))
 
 
+def _stars(large: bool):
+    """Rows u, v sorted by u, then v. Every neighbour of u that the step concerns is tied to the smallest one; u's rows are streamed, never gathered."""
+
+    def run(batches):
+        last = None  # u, v and the smallest of the last row
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            uv = np.empty((batch.num_rows, 2), dtype=[("id", "i8"), ("key", "i8")])
+            for k, (at, name) in enumerate(((0, "id"), (1, "key"), (2, "id"), (3, "key"))):
+                uv[name][:, k // 2] = batch.column(at).to_numpy()
+            u, v = uv[:, 0], uv[:, 1]
+            start = np.ones(len(u), bool)
+            start[1:] = u[1:] != u[:-1]
+            first = np.maximum.accumulate(np.where(start, np.arange(len(u)), 0))
+            least = v[first].copy()
+            again = np.zeros(len(u), bool)
+            again[1:] = (u[1:] == u[:-1]) & (v[1:] == v[:-1])
+            if last is not None and last[0] == u[0]:
+                least[first == 0] = last[2]
+                again[0] = last[1] == v[0]
+                start[0] = False
+            last = u[-1], v[-1], least[-1]
+            if large:
+                below = _less(u, least)
+                least = np.where(below, u, least)
+                keep = _less(u, v) & ~again
+                a, b = v[keep], least[keep]
+            else:
+                keep = (v != least) & ~again
+                a, b = np.concatenate([v[keep], u[start]]), np.concatenate([least[keep], least[start]])
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in (a["id"], a["key"], b["id"], b["key"])], ["u_id", "u_key", "v_id", "v_key"])
+
+    return run
+
+
+def _less(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return (x["id"] < y["id"]) | (x["id"] == y["id"]) & (x["key"] < y["key"])
+
+
+def _step(edges: DataFrame, large: bool) -> DataFrame:
+    """edges: u > v. The large step looks at both directions of an edge, the small one at u's smaller neighbours."""
+    n = shuffle_partitions(edges.sparkSession)
+    if large:
+        edges = edges.union(edges.select(F.col("v_id").alias("u_id"), F.col("v_key").alias("u_key"), F.col("u_id").alias("v_id"), F.col("u_key").alias("v_key")))
+    order = ["u_id", "u_key", "v_id", "v_key"]
+    return edges.repartition(n, "u_id", "u_key").sortWithinPartitions(*order).mapInArrow(_stars(large), "u_id long, u_key long, v_id long, v_key long")
+
+
 def components(links: DataFrame) -> DataFrame:
-    """node, label: the smallest node that each linked node reaches."""
-    both = links.where("a != b").select("a", "b")
-    both = cut(both.union(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
+    """node, label: the smallest node that each linked node reaches; smallest ones are left out. Large and small stars in turn, until the edges stay the same; each round costs two shuffles."""
+    high, low = F.greatest("a", "b"), F.least("a", "b")
+    edges = cut(links.where("a != b").select(high["id"].alias("u_id"), high["key"].alias("u_key"), low["id"].alias("v_id"), low["key"].alias("v_key")))
+    before = None
     while True:
-        spread = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        lowered = labels.join(spread, "node").select("node", F.least("label", "near").alias("to"), F.col("label").alias("old"))
-        jump = labels.select(F.col("node").alias("to"), F.col("label").alias("far"))
-        new = cut(lowered.join(jump, "to").select("node", F.least("to", "far").alias("label"), (F.least("to", "far") != F.col("old")).alias("moved")))
-        labels = new.select("node", "label")
-        if new.where("moved").isEmpty():
-            return labels
+        for _ in range(2):
+            edges = _step(_step(edges, True), False)
+        edges = cut(edges)
+        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("*").cast("decimal(38, 0)"))).first())
+        if now == before or not now[0]:
+            return edges.select(F.struct(F.col("u_id").alias("id"), F.col("u_key").alias("key")).alias("node"), F.struct(F.col("v_id").alias("id"), F.col("v_key").alias("key")).alias("label"))
+        before = now
 
 
 def classify(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
