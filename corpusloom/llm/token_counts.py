@@ -17,6 +17,7 @@ are; other columns are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
 import pickle
 import zlib
 from collections import Counter
@@ -30,9 +31,9 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import shuffle_partitions
 from corpusloom.llm.pretokens import Splitter
 
-BLOCK_DOCS, BLOCK_CHARS = 4096, 8_000_000
+BLOCK_DOCS, BLOCK_CHARS = 2048, 5_000_000
 #: Piece counts that a task keeps; fewer than a bucket's pre-tokens only cost recounting.
-CACHE = 2_000_000
+CACHE = 300_000
 
 _splitters: dict[str, Splitter] = {}
 _libraries: dict[str, object] = {}
@@ -117,6 +118,7 @@ def _cut(path: str, buckets: int):
 
 def _count(path: str):
     def run(batches):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads would each keep memory
         from tokenizers import Tokenizer
 
         if path not in _libraries:
@@ -174,7 +176,7 @@ def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
 
         path = public_tokenizers.path("byte_bpe_50k.json")
     n = shuffle_partitions(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(_cut(path, n * 4), "bucket int, block long, body binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(_cut(path, n), "bucket int, block long, body binary")
     sums = rows.repartition(n, "bucket").mapInArrow(_count(path), "block long, body binary")
     return sums.repartition(n, "block").sortWithinPartitions("block").mapInArrow(_add_up, "doc_id long, n_bytes long, n_tokens long")
 
