@@ -32,24 +32,30 @@ def _drain(stream: DataFrame, handle, state: str, mode: str) -> None:
     query.awaitTermination()
 
 
-def _versions(state: str):
-    """A table that each batch replaces: batch n goes to its own folder, so a batch that is run again changes nothing."""
-    return lambda n: f"{state}/table/{n}"
+def _last(spark: SparkSession, folder: str, below: int | None = None) -> str | None:
+    """The newest version of a table whose batches are folders 0, 1, ...; of those below a number, if one is given."""
+    if not exists(spark, folder):
+        return None
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    numbers = [int(f.getPath().getName()) for f in found if f.getPath().getName().isdigit()]
+    numbers = [n for n in numbers if below is None or n < below]
+    return f"{folder}/{max(numbers)}" if numbers else None
 
 
 def run_latest(spark: SparkSession, path: str, state: str) -> DataFrame:
-    """id, decision, seq: last write wins, by stateful aggregation; every update of a batch is merged into the table."""
-    at, seen = _versions(state), []
+    """id, decision, seq: last write wins, by stateful aggregation. Batch n merges its updates with version n - 1 of the table into version n, so a batch that is run again changes nothing."""
+    at = f"{state}/table"
     stream = _events(spark, path).groupBy("id").agg(F.max_by(F.struct("decision", "seq"), "seq").alias("last"))
 
     def handle(batch: DataFrame, n: int) -> None:
-        new = batch.select("id", "last.decision", "last.seq")
-        both = new.unionByName(spark.read.parquet(seen[-1])) if seen else new
-        latest_by(both).drop("first_seq").write.mode("overwrite").parquet(at(n))
-        seen.append(at(n))
+        new, before = batch.select("id", "last.decision", "last.seq"), _last(spark, at, n)
+        both = new.unionByName(spark.read.parquet(before)) if before else new
+        latest_by(both).drop("first_seq").write.mode("overwrite").parquet(f"{at}/{n}")
 
     _drain(stream, handle, state, "update")
-    return spark.read.parquet(seen[-1]) if seen else spark.createDataFrame([], "id string, decision string, seq long")
+    last = _last(spark, at)
+    return spark.read.parquet(last) if last else spark.createDataFrame([], "id string, decision string, seq long")
 
 
 def run_dedup(spark: SparkSession, path: str, state: str) -> DataFrame:

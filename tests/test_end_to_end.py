@@ -120,3 +120,16 @@ def test_streams_equal_batches(spark, tmp_path):
     assert len(got) == len({*got}) and {tuple(r) for r in got} == {(str(r["user_id"]), r["event_type"]) for r in batch}
     got = incremental.run_resume(spark, path, str(tmp_path / "s3")).collect()
     assert len(got) == 20 and len({r["id"] for r in got}) == 20
+
+
+def test_streams_go_on(spark, tmp_path):
+    path, state = str(tmp_path / "events.parquet"), [str(tmp_path / f"s{k}") for k in range(3)]
+    runners = (incremental.run_latest, incremental.run_dedup, incremental.run_resume)
+    make = lambda low, high: spark.range(low, high).select((F.col("id") % 10).alias("user_id"), F.concat(F.lit("t"), (F.col("id") % 7).cast("string")).alias("event_type"), F.col("id").alias("event_id"))
+    make(0, 5).coalesce(1).write.parquet(path)
+    assert [r(spark, path, s).count() for r, s in zip(runners, state, strict=True)] == [5, 5, 5]
+    make(3, 40).coalesce(1).write.mode("append").parquet(path)
+    latest, pairs, first = (r(spark, path, s).collect() for r, s in zip(runners, state, strict=True))
+    assert {r["id"]: r["seq"] for r in latest} == {str(u): 30 + u for u in range(10)}
+    assert len(pairs) == len({*pairs}) == len({(i % 10, i % 7) for i in range(40)})
+    assert {r["id"]: r["seq"] for r in first} == {str(u): u for u in range(10)}
