@@ -1,4 +1,5 @@
-"""Stages from the command line: prompts, tts, quality, review, export, all (the first three).
+"""Stages from the command line: prompts, tts, quality, review, export, all (the first three);
+besides compact (the review log), sample, report and verify (the export).
 
 Every stage resumes: what its manifest already holds is left out, so a second run adds nothing.
 """
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import config, providers
 from corpusloom.config import Config
-from corpusloom.operators import assign, candidates, manifest, review, signals
+from corpusloom.operators import assign, candidates, curate, manifest, reports, review, sample, signals
 from corpusloom.schemas import AUDIO, PROMPTS, QUALITY, REVIEWED, with_seq
 from corpusloom.sources import dataset, jsonl, wav
 
@@ -98,7 +99,41 @@ def export(spark: SparkSession, cfg: Config) -> str:
     return dataset.export(spark, cfg, read(spark, cfg, "audio_manifest"), read(spark, cfg, "quality_manifest"), read(spark, cfg, "reviewed_manifest"))
 
 
-STAGES = {"prompts": generate_prompts, "tts": synthesize, "quality": compute_quality, "review": show_review, "export": export}
+def compact_reviews(spark: SparkSession, cfg: Config) -> dict:
+    """Rewrite the review log as its latest entries, notes cleared; returns what was read, kept and cleared."""
+    log_ = read(spark, cfg, "reviewed_manifest")
+    counts = review.cleared_notes(log_).first().asDict()
+    # entries keep the place of their first appearance
+    kept = manifest.compacted(log_).withColumn("seq", F.col("first_seq")).select(*[f.name for f in with_seq(REVIEWED).fields])
+    jsonl.overwrite(kept, cfg.path("reviewed_manifest"))
+    return counts
+
+
+def draw_sample(spark: SparkSession, cfg: Config, size: int = 24) -> str:
+    """A small stratified sample of what would be exported, with its files, below the final folder."""
+    rows = curate.export_rows(curate.joined(read(spark, cfg, "audio_manifest"), read(spark, cfg, "quality_manifest"), read(spark, cfg, "reviewed_manifest"), cfg.export), cfg.export)
+    target = f"{cfg.path('final_dir')}/samples"
+    dataset.write_sample(spark, sample.round_robin_sample(rows, ["voice_id", "category"], size, "first_seq").drop("first_seq"), cfg.root, target)
+    return target
+
+
+def show_reports(spark: SparkSession, cfg: Config) -> None:
+    audio, quality, reviews = (read(spark, cfg, n) for n in ("audio_manifest", "quality_manifest", "reviewed_manifest"))
+    rows = reports.report_rows(audio, quality, reviews)
+    tables = {"summary": reports.summary(quality), "flags": reports.flag_reasons(quality), "by voice": reports.by_voice(rows), "by category": reports.by_category(rows), "code switching": reports.versus(rows, "code_switching"), "decisions": reports.decisions_by_voice(rows)}
+    for name, table in tables.items():
+        print(name)
+        table.show(truncate=False)
+
+
+def verify(spark: SparkSession, cfg: Config) -> list[str]:
+    return dataset.verify(spark, f"{cfg.path('final_dir')}/{cfg.export.dataset_name}")
+
+
+STAGES = {
+    "prompts": generate_prompts, "tts": synthesize, "quality": compute_quality, "review": show_review, "export": export,
+    "compact": compact_reviews, "sample": draw_sample, "report": show_reports, "verify": verify,
+}
 
 
 def main(args: list[str] | None = None) -> int:
@@ -111,7 +146,10 @@ def main(args: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("corpusloom").getOrCreate()
     try:
         for name in ("prompts", "tts", "quality") if given.stage == "all" else (given.stage,):
-            log.info("%s: %s", name, STAGES[name](spark, cfg))
+            found = STAGES[name](spark, cfg)
+            log.info("%s: %s", name, found)
+            if name == "verify" and found:
+                return 1
     except KeyboardInterrupt:
         return 130
     return 0

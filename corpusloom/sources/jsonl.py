@@ -33,6 +33,11 @@ def read(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+def iterate(spark: SparkSession, path: str, schema):
+    """Rows one at a time, a partition of them on the driver at most; here a missing path is an error."""
+    return spark.read.schema(_schema(schema)).option("mode", "FAILFAST").json(path).toLocalIterator()
+
+
 def read_in_order(spark: SparkSession, path: str, schema) -> DataFrame:
     """With ``seq`` from file, block and line, for logs that were not written with one. The place within a block is the reading task's running number."""
     if not exists(spark, path):

@@ -85,6 +85,14 @@ def test_stages_resume_and_export(spark, tmp_path):
     next((tmp_path / "data/final/speech_dataset_v1/audio").iterdir()).unlink()
     assert any("missing" in x for x in dataset.verify(spark, folder))
     cli.show_review(spark, cfg)
+    cli.show_reports(spark, cfg)
+    assert any("missing" in x for x in cli.verify(spark, cfg))
+    target = cli.draw_sample(spark, cfg, 3)
+    drawn = spark.read.json(f"{target}/metadata").collect()
+    assert len(drawn) == 3 and all((tmp_path / "data/final/samples" / r["audio_relpath"]).exists() for r in drawn)
+    assert cli.compact_reviews(spark, cfg) == {"n_entries": 7, "n_ids": 6, "n_notes": 0}
+    assert cli.read(spark, cfg, "reviewed_manifest").count() == 6
+    assert {r["id"] for r in dataset.load(spark, cli.export(spark, cfg)).collect()} == set(kept)
 
 
 def test_failed_rows_stay_rows(spark, tmp_path):
