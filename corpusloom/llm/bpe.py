@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.pretokens import Splitter
 
-#: Pre-tokens kept in a worker's cache, and the longest that is kept.
-CACHE, CACHE_CHARS = 400_000, 64
+#: Pre-tokens in each of a worker's two cache generations, the longest that is kept, and pairs in the compatibility table.
+CACHE, CACHE_CHARS, PAIRS = 150_000, 64, 300_000
 
 
 def byte_chars() -> dict[str, int]:
@@ -77,7 +77,7 @@ class Bpe:
         """Whether the two tokens can stand side by side: a table filled on demand."""
         found = self._compatible.get((left, right))
         if found is None:
-            if len(self._compatible) >= 2_000_000:
+            if len(self._compatible) >= PAIRS:
                 self._compatible.clear()
             found = self._compatible[left, right] = self._border_holds(left, right)
         return found
@@ -134,6 +134,7 @@ class Codec:
         self.buffer = np.frombuffer(b"".join(parts), np.uint8)
         self.offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
         self._cache: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
@@ -145,10 +146,11 @@ class Codec:
             for piece in self.splitter.pieces(segment):
                 found = cache.get(piece)
                 if found is None:
-                    found = tuple(self.bpe.encode_piece(piece.encode()))
+                    found = self._older.get(piece) or tuple(self.bpe.encode_piece(piece.encode()))
                     if len(piece) <= CACHE_CHARS:
                         if len(cache) >= CACHE:
-                            cache.clear()
+                            self._older, self._cache = cache, {}
+                            cache = self._cache
                         cache[piece] = found
                 ids += found
         return ids

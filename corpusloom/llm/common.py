@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +53,15 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise in the shared checkpoint folder: lineage ends here and lost executors cost nothing before it."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+#: Word hashes that a worker process keeps; all stages of a run share them.
+WORD_CACHE = 150_000
+_word: dict[bytes, int] = {}
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words."""
+    if len(_word) > WORD_CACHE:
+        _word.clear()
+    return np.fromiter((_word.get(w) or _word.setdefault(w, xxhash.xxh64_intdigest(w)) for w in words), np.uint64, len(words))

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import cut, row_key, shuffle_partitions
+from corpusloom.llm.common import cut, row_key, shuffle_partitions, word_hashes
 
 TREES, DEPTH = 16, 4
 N_HASH = TREES * DEPTH
@@ -41,7 +41,6 @@ _rng = np.random.default_rng(20240229)
 _MUL = _rng.integers(0, 2**63, N_HASH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 2**63, N_HASH, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_word: dict[bytes, int] = {}
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -55,9 +54,7 @@ def shingles(text: str, size: int) -> np.ndarray:
     words = text.encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_word) > 400_000:
-        _word.clear()
-    h = np.fromiter((_word.get(w) or _word.setdefault(w, xxhash.xxh64_intdigest(w)) for w in words), np.uint64, len(words))
+    h = word_hashes(words)
     n = max(1, len(h) - size + 1)
     out = np.zeros(n, np.uint64)
     for k in range(min(size, len(h))):

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import WORD_CACHE
+
 WORDS, N_STATS = 256, 24
 N_FEATURES = WORDS + N_STATS
 RANK = 8
@@ -50,7 +52,7 @@ def features(text: str) -> np.ndarray:
     share = np.bincount(_CLASS[np.frombuffer(raw, np.uint8)], minlength=10) / size
     stats = [*share]  # 10
     if n:
-        if len(_home) > 500_000:
+        if len(_home) > WORD_CACHE:
             _home.clear()
         home = [_home.get(w) if w in _home else _home.setdefault(w, zlib.crc32(w) % WORDS) for w in words]
         counts = np.bincount(home, minlength=WORDS).astype(np.float32)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import cut, row_key, shuffle_partitions
+from corpusloom.llm.common import cut, row_key, shuffle_partitions, word_hashes
 
 LENGTH, GRAM = 50, 16
 #: Documents with an anchor for each copy of its shard, and copies at most.
@@ -42,7 +42,6 @@ SALT_DOCS, SALTS = 256, 64
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
-_word: dict[bytes, int] = {}
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -51,12 +50,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_word) > 400_000:
-        _word.clear()
-    return np.fromiter((_word.get(w) or _word.setdefault(w, xxhash.xxh64_intdigest(w)) for w in words), np.uint64, len(words))
-
-
 def gram_hashes(h: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of ``size`` words: differences of prefix sums of a polynomial modulo 2^64."""
     n = len(h) - size + 1
