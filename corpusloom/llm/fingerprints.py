@@ -130,8 +130,8 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     """Every document with its edited text and its neighbour in descending id order."""
     n = shuffle_partitions(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(F.col("text")).alias("tkey"), F.col("text").alias("text"))
-    # at most 2n borders and as many first documents reach the driver
-    borders = np.unique(np.array(rows.agg(F.percentile_approx("doc_id", [k / (2 * n) for k in range(1, 2 * n)], 100 * n).alias("q")).first()["q"] or [], np.int64))
+    # a border and a first document for each partition reach the driver
+    borders = np.unique(np.array(rows.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 100 * n).alias("q")).first()["q"] or [], np.int64)) if n > 1 else np.zeros(0, np.int64)
 
     @F.pandas_udf("int")
     def bucket_of(doc_id: pd.Series) -> pd.Series:
@@ -148,7 +148,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     ahead = rows.join(F.broadcast(marks), (F.col("tkey") == F.col("m_tkey")) & F.col("doc_id").eqNullSafe(F.col("m_id"))).select("bucket", F.lit(True).alias("ahead"), "doc_id", "tkey", "text")
     every = keyed.select("bucket", F.lit(False).alias("ahead"), "doc_id", "tkey", "text").unionByName(ahead)
     order = ["bucket", "ahead", F.col("doc_id").desc_nulls_last(), "tkey"]
-    return every.repartition(n, "bucket").sortWithinPartitions(*order).select("bucket", "ahead", "doc_id", "text").mapInArrow(_stream, SCHEMA)
+    return every.repartitionById(n, F.least("bucket", F.lit(n - 1))).sortWithinPartitions(*order).select("bucket", "ahead", "doc_id", "text").mapInArrow(_stream, SCHEMA)
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
