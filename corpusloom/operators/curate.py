@@ -23,9 +23,9 @@ def skip_reason(rules: Export) -> Column:
 
 def joined(audio: DataFrame, quality: DataFrame, reviews: DataFrame, rules: Export | None = None) -> DataFrame:
     """All ok audio, latest per id, with review, quality and ``skip_reason``. Status is filtered before the latest is taken, so a later failure hides nothing."""
-    a = latest_by(audio.where("status = 'ok'")).drop("error")
-    r = latest_by(reviews).select("id", "decision", "final_text", "note")
-    q = latest_by(quality).select("id", F.lit(True).alias("has_quality"), "transcript", "cer", "wer", "flags", "auto_status")
+    a = latest_by(audio.where("status = 'ok'"), columns=[c for c in audio.columns if c not in ("error", "prompt_id")])
+    r = latest_by(reviews, columns=["decision", "final_text", "note"]).drop("first_seq")
+    q = latest_by(quality, columns=["transcript", "cer", "wer", "flags", "auto_status"]).drop("first_seq").withColumn("has_quality", F.lit(True))
     rows = a.join(r, "id", "left").join(q, "id", "left")
     return rows.withColumn("skip_reason", skip_reason(rules or Export()))
 

@@ -5,14 +5,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def latest_by(log: DataFrame, key: str = "id", seq: str = "seq") -> DataFrame:
-    """The last entry of each key, with ``first_seq``, the place of its first. An aggregate with partial sums, so a key with many entries is no hot spot."""
-    rest = [c for c in log.columns if c != key]
+def latest_by(log: DataFrame, key: str = "id", seq: str = "seq", columns: Sequence[str] | None = None) -> DataFrame:
+    """The last entry of each key, with ``first_seq``, the place of its first.
+
+    An aggregate with partial sums, so a key with many entries is no hot spot. An entry travels as
+    one value, which hides its columns from pruning: name those that are needed.
+    """
+    rest = [c for c in (log.columns if columns is None else columns) if c != key]
     kept = log.groupBy(key).agg(F.max_by(F.struct(*rest), seq).alias("last"), F.min(seq).alias("first_seq"))
     return kept.select(key, *[F.col("last")[c].alias(c) for c in rest], "first_seq")
 

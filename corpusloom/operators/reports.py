@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,10 +11,10 @@ from corpusloom.functions.quantiles import order_statistics
 from corpusloom.operators.manifest import latest_by
 
 
-def report_rows(audio: DataFrame, quality: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Quality entries with their audio and latest decision; quality's id, prompt, path, duration and error win."""
-    a = latest_by(audio.where("status = 'ok'")).select("id", "text", "category", "voice_provider", "voice_id", "voice_gender", "voice_dialect", "sample_rate")
-    return quality.join(a, "id").join(latest_by(reviews).select("id", "decision"), "id", "left")
+def report_rows(audio: DataFrame, quality: DataFrame, reviews: DataFrame, columns: Sequence[str] = ("category", "voice_id")) -> DataFrame:
+    """Quality entries with ``columns`` of their audio and the latest decision; quality's id, prompt, path, duration and error win."""
+    a = latest_by(audio.where("status = 'ok'"), columns=columns).select("id", *columns)
+    return quality.join(a, "id").join(latest_by(reviews, columns=["decision"]).select("id", "decision"), "id", "left")
 
 
 def _shares(*names: str):

@@ -15,7 +15,7 @@ LAST = 4
 
 def queue(audio: DataFrame, quality: DataFrame) -> DataFrame:
     """Ok audio (repeated ids stay) with quality and ``position``: by priority, then log order. Without a quality row the status is unknown and flags are empty."""
-    q = latest_by(quality).select("id", F.lit(True).alias("__has"), "flags", "auto_status", "cer", "wer", "transcript", "chars_per_sec")
+    q = latest_by(quality, columns=["flags", "auto_status", "cer", "wer", "transcript", "chars_per_sec"]).drop("first_seq").withColumn("__has", F.lit(True))
     rows = audio.where("status = 'ok'").join(q, "id", "left")
     none = F.col("__has").isNull()
     rows = rows.withColumn("flags", F.when(none, F.array().cast("array<string>")).otherwise(F.col("flags"))).withColumn("auto_status", F.when(none, F.lit("unknown")).otherwise(F.col("auto_status")))
@@ -28,7 +28,7 @@ def queue(audio: DataFrame, quality: DataFrame) -> DataFrame:
 
 
 def with_decisions(rows: DataFrame, decisions: DataFrame) -> DataFrame:
-    last = latest_by(decisions).select("id", "decision", F.col("final_text").alias("decided_text"), "note")
+    last = latest_by(decisions, columns=["decision", "final_text", "note"]).select("id", "decision", F.col("final_text").alias("decided_text"), "note")
     return rows.join(last, "id", "left")
 
 
@@ -61,12 +61,12 @@ def display(rows: DataFrame) -> DataFrame:
 
 def progress(rows: DataFrame, decisions: DataFrame) -> DataFrame:
     """reviewed, total and the counts of each decision, latest entries only."""
-    last = latest_by(decisions)
+    last = latest_by(decisions, columns=["decision"])
     tally = last.agg(F.count("*").alias("reviewed"), *[F.count_if(F.col("decision") == d).alias(f"n_{d}") for d in ("accept", "edit", "reject")])
     return tally.withColumn("total", rows.agg(F.count("*").alias("total")).scalar())
 
 
 def cleared_notes(decisions: DataFrame) -> DataFrame:
     """n_entries, n_ids, n_notes: what a compaction reads, keeps and clears."""
-    kept = latest_by(decisions).agg(F.count("*").alias("n_ids"), F.count_if(F.coalesce("note", F.lit("")) != "").alias("n_notes"))
+    kept = latest_by(decisions, columns=["note"]).agg(F.count("*").alias("n_ids"), F.count_if(F.coalesce("note", F.lit("")) != "").alias("n_notes"))
     return kept.withColumn("n_entries", decisions.agg(F.count("*").alias("n")).scalar())
