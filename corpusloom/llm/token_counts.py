@@ -177,7 +177,7 @@ def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
         path = public_tokenizers.path("byte_bpe_50k.json")
     n = shuffle_partitions(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(_cut(path, n), "bucket int, block long, body binary")
-    sums = rows.repartition(n, "bucket").mapInArrow(_count(path), "block long, body binary")
+    sums = rows.repartitionById(n, "bucket").mapInArrow(_count(path), "block long, body binary")
     return sums.repartition(n, "block").sortWithinPartitions("block").mapInArrow(_add_up, "doc_id long, n_bytes long, n_tokens long")
 
 
