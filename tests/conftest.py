@@ -18,5 +18,8 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    from corpusloom.shipping import ship
+
+    ship(session)
     yield session
     session.stop()
