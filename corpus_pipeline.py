@@ -14,31 +14,37 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import bpe, mixing, near_dedup, quality, substring_dedup
 from corpusloom.llm.common import ensure_checkpoint_dir
+from corpusloom.shipping import ship
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it is fitted on the labelled ones that are not held out."""
+    ship(spark)
     return quality.keep_good(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8 or more)."""
+    ship(spark)
     return near_dedup.keep_one(docs)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that an earlier document holds are cut; n_chars follows the text."""
+    ship(spark)
     cleaned = substring_dedup.remove_repeats(docs)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cleaned
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources by weights 5, 2, 1 in turn; a document is there as often as it is taken."""
+    ship(spark)
     return mixing.mix(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and whether decoding them gave the text back."""
+    ship(spark)
     path = bpe.default_path()
 
     def run(batches):
