@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import cut, row_key, shuffle_partitions, word_hashes
 
 LENGTH, GRAM = 50, 16
-#: Documents with an anchor for each copy of its shard, and copies at most.
-SALT_DOCS, SALTS = 256, 64
+#: Documents with an anchor for each copy of its shard, and copies at most; copies are powers of two.
+SALT_DOCS, SALTS = 32, 256
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -162,7 +162,7 @@ def _stretches(length: int):
                 k = np.minimum(np.searchsorted(known, at), len(known) - 1)
                 has = known[k] == at
                 # level 0: two documents only, the owner and one other
-                level = np.where(docs[k] <= 2, 0, np.minimum(SALTS, docs[k] // SALT_DOCS + 1))
+                level = np.where(docs[k] <= 2, 0, np.minimum(SALTS, 1 << np.ceil(np.log2(np.maximum(docs[k] / SALT_DOCS, 1))).astype(np.int64)))
                 own = owner[k]
                 edge = np.ones(len(at), bool)
                 edge[1:] = (has[1:] != has[:-1]) | (own[1:] != own[:-1]) | (level[1:] != level[:-1])
