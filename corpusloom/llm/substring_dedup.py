@@ -39,6 +39,8 @@ from corpusloom.llm.common import cut, row_key, shuffle_partitions, word_hashes
 LENGTH, GRAM = 50, 16
 #: Documents with an anchor for each copy of its shard, and copies at most; copies are powers of two.
 SALT_DOCS, SALTS = 32, 256
+#: Characters of stretches that a task holds before it passes them on.
+FLUSH = 4_000_000
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -144,12 +146,15 @@ def _anchors(length: int):
 _STRETCH = [("owner", pa.int64()), ("level", pa.int32()), ("salt", pa.int32()), ("query", pa.int32()), ("doc_id", pa.int64()), ("tkey", pa.int64()), ("start", pa.int32()), ("words", pa.string())]
 
 
-def _stretches(length: int):
+def _stretches(length: int, flush: int = FLUSH):
     """Runs of windows that have one owner and level, as stretches of text for their shard."""
 
+    def packed(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), _STRETCH, strict=True)], [n for n, _ in _STRETCH])
+
     def run(batches):
         for batch in batches:
-            rows = []
+            rows, size = [], 0
             for doc_id, tkey, text, listed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
                 listed = listed.values
                 words = (text.as_py() or "").encode().split()
@@ -175,8 +180,12 @@ def _stretches(length: int):
                         mine = own[a] == doc_id
                         for salt in range(copies) if mine else (xxhash.xxh32_intdigest(str(doc_id)) % copies,):
                             rows.append((int(own[a]), int(level[a]), salt, int(not mine), doc_id, tkey, int(a), part))
+                            size += len(part)
+                            if size > flush:  # copies of a long shard leave in portions
+                                yield packed(rows)
+                                rows, size = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), _STRETCH, strict=True)], [n for n, _ in _STRETCH])
+                yield packed(rows)
 
     return run
 

@@ -289,6 +289,18 @@ def test_automaton(references, query, least):
     assert a.matched(query, least) == [k for k in range(len(query) - least + 1) if tuple(query[k : k + least]) in have]
 
 
+def test_stretches_leave_in_portions():
+    import pyarrow as pa
+
+    words = [f"w{k % 90}" for k in range(300)]
+    anchors = np.unique(substring_dedup.window_anchors(substring_dedup.word_hashes([w.encode() for w in words]), 50))
+    listed = [{"anchor": int(a), "owner": 1 if k % 2 else 5, "docs": 40 * (k % 3) + 2} for k, a in enumerate(anchors)]
+    kind = pa.list_(pa.struct([("anchor", pa.int64()), ("owner", pa.int64()), ("docs", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([5]), pa.array([9]), pa.array([" ".join(words)]), pa.array([listed], kind)], ["doc_id", "tkey", "text", "listed"])
+    whole, portions = ([b.to_pylist() for b in substring_dedup._stretches(50, size)(iter([batch]))] for size in (10**9, 10))
+    assert len(whole) == 1 and len(portions) > 3 and sum(portions, []) == whole[0]
+
+
 def test_remove_repeats(docs, rows):
     out = substring_dedup.remove_repeats(docs)
     assert out.columns == docs.columns and out.count() == len(rows)
