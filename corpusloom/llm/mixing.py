@@ -9,7 +9,9 @@ Sampling: a document of a source expects e = target / source size copies. Docume
 fixed order; with P(i) = i * e + u, u one random offset of the source, document i is emitted
 floor(P(i)) - floor(P(i - 1)) times, once per integer boundary crossed. The order runs from
 large documents to small and back (every other document on the way down, the rest on the way
-up), so the picks' errors on both slopes cancel and the words taken come near the target.
+up), so the picks' errors on both slopes cancel and the words taken come near the target. Of
+OFFSETS evenly spaced shifts of the random offset the one that comes nearest is taken; the sums
+that tell are one row a source.
 
 Positions are numbered in levels: counts by (source, size), their running sums, counts by salt
 inside, and a row number inside (source, size, salt). A source with a third of all rows, or a
@@ -24,14 +26,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import unit_interval, word_count
+from corpusloom.llm.common import cut, unit_interval, word_count
 
 #: Hex digits of the id's hash that split equal sizes of one source: 16^2 salts.
 SALT_DIGITS = 2
+#: Shifts of a source's random offset that are compared.
+OFFSETS = 16
 WEIGHTS = (5.0, 2.0, 1.0)
 
 
@@ -53,28 +57,44 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     return per.select("source", "source_size", "n_rows", target.cast("double").alias("target"))
 
 
+def _crossed(pos: Column, e: Column, u: Column, most: float) -> Column:
+    """Integer boundaries between the prefix sums before and behind a place."""
+    return F.least(F.floor(pos * e + u) - F.floor((pos - 1) * e + u), F.lit(int(most))).cast("long")
+
+
 def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: str = "mix", keep: Sequence[str] = ()) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, n_copies, and the columns named in ``keep``."""
-    base = docs.select(F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"), F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, SALT_DIGITS).alias("salt"), *keep)
-    # nulls join under a flag and an empty name
-    base = base.withColumn("src", F.coalesce("source", F.lit(""))).withColumn("nosrc", F.col("source").isNull())
-    cells = base.groupBy("src", "nosrc", "size", "salt").agg(F.count("*").alias("n"))
     key = ["src", "nosrc"]
+
+    def sized(*more: str) -> DataFrame:
+        salt = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, SALT_DIGITS)
+        # nulls join under a flag and an empty name
+        return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), salt.alias("salt"), F.coalesce("source", F.lit("")).alias("src"), F.col("source").isNull().alias("nosrc"), *more)
+
+    small = cut(sized())  # a few numbers a document, so that texts are counted once
+    cells = small.groupBy(*key, "size", "salt").agg(F.count("*").alias("n"))
     by_size = cells.groupBy(*key, "size").agg(F.sum("n").alias("n"))
     by_size = by_size.select(*key, "size", (F.sum("n").over(W.partitionBy(*key).orderBy(F.col("size").desc())) - F.col("n")).alias("larger"))
     inside = cells.withColumn("before", F.sum("n").over(W.partitionBy(*key, "size").orderBy("salt")) - F.col("n"))
-    plan = targets(base.select("source", "size"), weights, share, most).select(
+    plan = targets(small.select("source", "size"), weights, share, most).select(
         F.coalesce("source", F.lit("")).alias("src"), F.col("source").isNull().alias("nosrc"), "source_size", "n_rows", "target",
         unit_interval(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit("\0")))).alias("u"),
+        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("e"),
     )
-    starts = inside.join(by_size, [*key, "size"]).join(plan, key).select(*key, "size", "salt", (F.col("larger") + F.col("before")).alias("start"), "source_size", "n_rows", "target", "u")
-    r = F.row_number().over(W.partitionBy(*key, "size", "salt").orderBy("doc_id"))
-    placed = base.withColumn("r", r).join(starts, [*key, "size", "salt"])
-    i = F.col("start") + F.col("r")
-    pos = F.when(i % 2 == 1, (i + 1) / 2).otherwise(F.col("n_rows") - i / 2 + 1)
-    e = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    crossed = F.floor(F.col("pos") * F.col("e") + F.col("u")) - F.floor((F.col("pos") - 1) * F.col("e") + F.col("u"))
-    return placed.withColumn("pos", F.floor(pos).cast("double")).withColumn("e", e).select("doc_id", "source", "size", "source_size", "target", F.least(crossed, F.lit(int(most))).cast("long").alias("n_copies"), *keep)
+    starts = inside.join(by_size, [*key, "size"]).select(*key, "size", "salt", (F.col("larger") + F.col("before")).alias("start"))
+
+    def placed(rows: DataFrame, facts: DataFrame) -> DataFrame:
+        r = F.row_number().over(W.partitionBy(*key, "size", "salt").orderBy("doc_id"))
+        out = rows.withColumn("r", r).join(starts.join(facts, key), [*key, "size", "salt"])
+        i = F.col("start") + F.col("r")
+        return out.withColumn("pos", F.floor(F.when(i % 2 == 1, (i + 1) / 2).otherwise(F.col("n_rows") - i / 2 + 1)).cast("double"))
+
+    shifted = lambda k: F.col("u") + k / OFFSETS - F.when(F.col("u") + k / OFFSETS >= 1, 1.0).otherwise(0.0)
+    sums = placed(small, plan).groupBy(*key).agg(*[F.sum(_crossed(F.col("pos"), F.col("e"), shifted(k), most) * F.col("size")).alias(f"t{k}") for k in range(OFFSETS)])
+    best = F.array_min(F.array(*[F.struct(F.abs(F.col(f"t{k}") - F.col("target")).alias("miss"), F.lit(k).alias("k")) for k in range(OFFSETS)]))["k"]
+    fixed = plan.join(sums, key).withColumn("u", F.element_at(F.array(*[shifted(k) for k in range(OFFSETS)]), best + 1)).drop(*[f"t{k}" for k in range(OFFSETS)])
+    out = placed(sized(*keep) if keep else small, fixed)
+    return out.select("doc_id", "source", "size", "source_size", "target", _crossed(F.col("pos"), F.col("e"), F.col("u"), most).alias("n_copies"), *keep)
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: str = "mix") -> DataFrame:
@@ -125,8 +145,16 @@ placed AS (
 ),
 pos AS (
   SELECT *, (CASE WHEN i % 2 = 1 THEN (i + 1) // 2 ELSE n_rows - i // 2 + 1 END)::DOUBLE AS p FROM placed
-)
+),
+shifts AS (SELECT k, k / 16.0::DOUBLE AS s FROM (SELECT unnest(range(16)) AS k)),
+sums AS (
+  SELECT source, k, any_value(target) AS target,
+    CASE WHEN any_value(u) + any_value(s) >= 1 THEN any_value(u) + any_value(s) - 1 ELSE any_value(u) + any_value(s) END AS v,
+    sum(least(floor(p * e + CASE WHEN u + s >= 1 THEN u + s - 1 ELSE u + s END)::BIGINT - floor((p - 1) * e + CASE WHEN u + s >= 1 THEN u + s - 1 ELSE u + s END)::BIGINT, 2) * size)::BIGINT AS t
+  FROM pos, shifts GROUP BY source, k
+),
+fixed_u AS (SELECT source, arg_min(v, (abs(t - target), k)) AS v FROM sums GROUP BY source)
 SELECT doc_id, size, source_size, target,
-       (least(floor(p * e + u)::BIGINT - floor((p - 1) * e + u)::BIGINT, 2) * size)::BIGINT AS taken
-FROM pos
+       (least(floor(p * e + v)::BIGINT - floor((p - 1) * e + v)::BIGINT, 2) * size)::BIGINT AS taken
+FROM pos JOIN fixed_u f ON pos.source IS NOT DISTINCT FROM f.source
 """

@@ -70,9 +70,12 @@ def mixed(rows):
         own = sorted((r for r in rows if r[2] == s), key=lambda r: (-size[r[0]], hashlib.md5(str(r[0]).encode()).hexdigest()[:2], r[0]))
         u = int(hashlib.md5(f"mix:{s}".encode()).hexdigest()[:5], 16) / 2**20
         e = target[s] / per[s] if per[s] else 0.0
-        for k, r in enumerate(own, 1):
-            p = (k + 1) // 2 if k % 2 else len(own) - k // 2 + 1
-            out += [r] * (math.floor(p * e + u) - math.floor((p - 1) * e + u))
+        places = [(k + 1) // 2 if k % 2 else len(own) - k // 2 + 1 for k in range(1, len(own) + 1)]
+        shifts = [u + k / 16 - (u + k / 16 >= 1) for k in range(16)]
+        taken = lambda v: [math.floor(p * e + v) - math.floor((p - 1) * e + v) for p in places]
+        miss = [abs(sum(n * size[r[0]] for n, r in zip(taken(v), own, strict=True)) - target[s]) for v in shifts]
+        for n, r in zip(taken(shifts[miss.index(min(miss))]), own, strict=True):
+            out += [r] * n
     return out
 
 
