@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -155,10 +156,9 @@ def keep_good(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -
     """The rows of ``docs`` whose score reaches the threshold, with all their columns."""
 
     @F.pandas_udf("double")
-    def scored(text):
-        import pandas as pd
-
-        return pd.Series([float(machine.score(features(t or "").astype(np.float64)[None])[0]) for t in text])
+    def scored(text: pd.Series) -> pd.Series:
+        parts = [machine.score(np.stack([features(t or "") for t in text[a : a + 1024]]).astype(np.float64)) for a in range(0, len(text), 1024)]
+        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
     return docs.where(scored("text") >= threshold)
 
