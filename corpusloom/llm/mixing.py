@@ -81,11 +81,12 @@ def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1
         unit_interval(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit("\0")))).alias("u"),
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("e"),
     )
-    starts = inside.join(by_size, [*key, "size"]).select(*key, "size", "salt", (F.col("larger") + F.col("before")).alias("start"))
 
     def placed(rows: DataFrame, facts: DataFrame) -> DataFrame:
         r = F.row_number().over(W.partitionBy(*key, "size", "salt").orderBy("doc_id"))
-        out = rows.withColumn("r", r).join(starts.join(facts, key), [*key, "size", "salt"])
+        # facts of a source meet its distinct sizes first, so that no join deals many rows by source alone
+        starts = inside.join(by_size.join(facts, key), [*key, "size"]).withColumn("start", F.col("larger") + F.col("before")).drop("n", "before", "larger")
+        out = rows.withColumn("r", r).join(starts, [*key, "size", "salt"])
         i = F.col("start") + F.col("r")
         return out.withColumn("pos", F.floor(F.when(i % 2 == 1, (i + 1) / 2).otherwise(F.col("n_rows") - i / 2 + 1)).cast("double"))
 
