@@ -33,8 +33,9 @@ def validated(candidates: DataFrame, existing: DataFrame | None = None, *, low:
     The first of a hash is found by an aggregate (pre-aggregated, so a common hash is no hot spot).
     """
     rows = prepared(candidates, assume_nfc).withColumn("reason", first_reason(low, high, script, least))
-    # null-safe keys: a plain join adds a null test on the hash, which would compute it once more
-    first = rows.where("reason = ''").groupBy(F.col("hash").alias("__hash")).agg(F.min(seq).alias("__first"))
+    # no filter here and null-safe keys below: a filter, or the null test that a plain join adds, is
+    # pushed down and computes the whole chain of expressions again
+    first = rows.groupBy(F.col("hash").alias("__hash")).agg(F.min(F.when(F.col("reason") == "", F.col(seq))).alias("__first"))
     rows = rows.join(first, rows["hash"].eqNullSafe(F.col("__hash")), "left").drop("__hash")
     late = F.col(seq) > F.col("__first")
     if existing is not None:
