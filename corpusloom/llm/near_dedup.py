@@ -6,10 +6,12 @@
 2. A tree orders all classes by its DEPTH minima, then by four bits of every minimum, rotated by
    the tree's number. Sorted by range over many tasks, classes that share a long prefix stand side by side.
    Candidates of a class are its neighbours by longest common prefix: all of its region, where the
-   depth that makes a region is adapted (the smallest prefix length that leaves at most REGION
-   classes); in regions that stay larger at full depth, the next NEAREST classes. In every larger
-   region, at each depth, the class nearest to the region's majority signature is a candidate of
-   all others, so that a group of many copies finds its common original. A candidate must agree
+   depth that makes a region is adapted (the smallest prefix length, sketch bytes included, that
+   leaves at most REGION classes), and where DEPTH minima leave more, the next NEAREST classes. In
+   every larger region, at each depth, the class nearest to the region's majority signature is a
+   candidate of all others, so that a group of many copies finds its common original. Regions that
+   go on in other batches or tasks are counted there, too: their parts are summed, and all their
+   rows meet one nearest class of the whole region. A candidate must agree
    in enough minima for the similarity asked for. Candidates grow with classes, not with pairs.
 3. Candidates are confirmed on full shingle sets made from whole texts. First each class's most
    similar partner; then, between components that are still apart, all others.
@@ -35,6 +37,7 @@ from corpusloom.llm.common import cut, row_key, shuffle_partitions, word_hashes
 
 TREES, DEPTH = 16, 4
 N_HASH = TREES * DEPTH
+LEVELS = DEPTH + N_HASH // 2
 REGION, NEAREST = 8, 3
 
 _rng = np.random.default_rng(20240229)
@@ -115,58 +118,235 @@ def _matches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _EQUAL[a ^ b].sum(axis=1, dtype=np.int64)
 
 
+def _alike(tree: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """n x LEVELS: row i shares d + 1 columns (minima, then sketch bytes) with row i - 1."""
+    alike = np.zeros((len(tree), LEVELS), bool)
+    minima = np.ascontiguousarray(keys[:, : 4 * DEPTH]).view(">u4")
+    alike[1:, :DEPTH] = minima[1:] == minima[:-1]
+    alike[1:, DEPTH:] = keys[1:, 4 * DEPTH :] == keys[:-1, 4 * DEPTH :]
+    alike[1:] &= (tree[1:] == tree[:-1])[:, None]
+    return np.logical_and.accumulate(alike, axis=1)
+
+
+def _votes(sketch: np.ndarray) -> np.ndarray:
+    """16 x N_HASH: how often each minimum of the sketches has each value."""
+    nibbles = np.concatenate([sketch >> 4, sketch & 15], axis=1)
+    return np.stack([(nibbles == v).sum(axis=0) for v in range(16)])
+
+
+def _middle(votes: np.ndarray) -> np.ndarray:
+    most = votes.argmax(axis=0)
+    return ((most[: N_HASH // 2] << 4) | most[N_HASH // 2 :]).astype(np.uint8)
+
+
+def _prefix(d: int) -> int:
+    """Bytes of a key that make a region of level d."""
+    return 4 * (d + 1) if d < DEPTH else 4 * DEPTH + d + 1 - DEPTH
+
+
+_PAIRS = "a_id long, a_key long, b_id long, b_key long, score long"
+_PARTS = "tree int, prefix binary, n long, part binary"
+_FOUND = pa.schema([*((c, pa.int64()) for c in ("a_id", "a_key", "b_id", "b_key", "score")), ("tree", pa.int32()), ("prefix", pa.binary()), ("n", pa.int64()), ("part", pa.binary())])
+
+
+def _pair_batch(ids, tkeys, a, b, score) -> pa.RecordBatch:
+    swap = (ids[a] > ids[b]) | (ids[a] == ids[b]) & (tkeys[a] > tkeys[b])
+    a, b = np.where(swap, b, a), np.where(swap, a, b)
+    none = [pa.nulls(len(a), f.type) for f in list(_FOUND)[5:]]
+    return pa.RecordBatch.from_arrays([*(pa.array(x) for x in (ids[a], tkeys[a], ids[b], tkeys[b], score)), *none], schema=_FOUND)
+
+
 def _neighbours(least: int):
-    def pairs(tree, minima, sketch):
+    def pairs(alike, sketch):
         """Index pairs within one sorted stretch of rows."""
-        n = len(tree)
-        alike = np.zeros((n, DEPTH), bool)  # row i shares d + 1 minima with row i - 1
-        alike[1:] = np.cumprod(np.concatenate([(minima[1:] == minima[:-1])], axis=1), axis=1).astype(bool) & (tree[1:] == tree[:-1])[:, None]
-        need, found = np.full(n, DEPTH), []
-        for d in reversed(range(DEPTH)):
+        n = len(sketch)
+        need, found, hubs = np.full(n, LEVELS + 1), [], {}  # the least depth that fits; LEVELS + 1: none
+        for d in range(LEVELS):
             starts, ends = _runs(alike[:, d])
             size = ends - starts
-            need[np.repeat(size <= REGION, size)] = d + 1
-            for a, b in zip(starts[size > REGION], ends[size > REGION], strict=True):
+            need[np.repeat(size <= REGION, size) & (need > LEVELS)] = d + 1
+            if not (size > REGION).any():
+                break
+            before, hubs = hubs, {}
+            for a, b in zip(starts[size > REGION].tolist(), ends[size > REGION].tolist(), strict=True):
+                if (a, b) in before:
+                    hubs[a, b] = before[a, b]
+                    continue
                 own = sketch[a:b]
-                nibbles = np.concatenate([own >> 4, own & 15], axis=1)
-                votes = np.stack([(nibbles == v).sum(axis=0) for v in range(16)]).argmax(axis=0)
-                half = own.shape[1]
-                middle = ((votes[:half] << 4) | votes[half:]).astype(np.uint8)
-                hub = a + int(_matches(own, middle[None]).argmax())
+                hub = hubs[a, b] = a + int(_matches(own, _middle(_votes(own))[None]).argmax())
                 others = np.arange(a, b)
                 found.append(np.stack([others, np.full(b - a, hub)], axis=1)[others != hub])
-        shared = np.where(alike.any(axis=1), alike.sum(axis=1), 0)  # with the row before
-        reach = np.full(n, DEPTH)
+        shared = alike.sum(axis=1)  # with the row before
+        reach = np.full(n, LEVELS)
         for s in range(1, REGION):
             if s >= n:
                 break
             reach = np.minimum(reach[1:], shared[s:])  # common depth of rows i and i + s
             i = np.arange(len(reach))
-            crowded = (need[i] == DEPTH) & (need[i + s] == DEPTH)
-            ok = (reach >= np.minimum(need[i], need[i + s])) & ((s <= NEAREST) | ~crowded) | ((s == 1) & (reach >= 1))
+            ok = (reach >= np.minimum(need[i], need[i + s])) | ((s <= NEAREST) & (reach >= DEPTH)) | ((s == 1) & (reach >= 1))
             found.append(np.stack([i[ok], i[ok] + s], axis=1))
         return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        rest = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = pa.Table.from_batches([b for b in (rest, batch) if b is not None]).combine_chunks().to_batches()[0]
+        rest, before = None, LEVELS  # the last rows; how deep the batch may be one region with the rows before it
+        batches = (b for b in batches if b.num_rows)
+        batch = next(batches, None)
+        while batch is not None:
+            following = next(batches, None)
+            old = rest.num_rows if rest else 0
+            rows = pa.Table.from_batches([b for b in (rest, batch, following and following.slice(0, 1)) if b is not None]).combine_chunks().to_batches()[0]
             tree = rows.column(0).to_numpy()
             keys = np.frombuffer(b"".join(x.as_py() for x in rows.column(1)), np.uint8).reshape(len(tree), -1)
-            minima = np.ascontiguousarray(keys[:, : 4 * DEPTH]).view(">u4")
-            sketch = keys[:, 4 * DEPTH :]
-            at = pairs(tree, minima, sketch)
+            ids, tkeys, sketch = rows.column(2).to_numpy(), rows.column(3).to_numpy(), keys[:, 4 * DEPTH :]
+            alike = _alike(tree, keys)
+            end = old + batch.num_rows
+            behind = int(alike[end].sum()) if following is not None else LEVELS
+            at = pairs(alike[:end], sketch[:end])
             score = _matches(sketch[at[:, 0]], sketch[at[:, 1]])
             at, score = at[score >= least], score[score >= least]
             if len(at):
-                ids, tkeys = rows.column(2).to_numpy(), rows.column(3).to_numpy()
-                a, b = at[:, 0], at[:, 1]
-                swap = (ids[a] > ids[b]) | (ids[a] == ids[b]) & (tkeys[a] > tkeys[b])
-                a, b = np.where(swap, b, a), np.where(swap, a, b)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[a], tkeys[a], ids[b], tkeys[b], score)], ["a_id", "a_key", "b_id", "b_key", "score"])
-            rest = rows.slice(max(0, len(tree) - REGION))
+                yield _pair_batch(ids, tkeys, at[:, 0], at[:, 1], score)
+            yield from edges(tree, keys, ids, tkeys, alike, old, end, before, behind)
+            before, rest = behind, rows.slice(max(0, end - REGION), min(REGION, end))
+            batch = following
+
+    def edges(tree, keys, ids, tkeys, alike, start, end, before, behind):
+        """What regions that may go on outside the batch have inside it: few rows as they are, of many the votes."""
+        out = []
+        for d in range(max(before, behind)):
+            breaks = start + 1 + np.flatnonzero(~alike[start + 1 : end, d])
+            runs = {(start, int(breaks[0]) if len(breaks) else end)} if d < before else set()
+            if d < behind:
+                runs.add((int(breaks[-1]) if len(breaks) else start, end))
+            for a, b in runs:
+                sketch = keys[a:b, 4 * DEPTH :]
+                if b - a <= REGION:
+                    part = b"".join(ids[k].tobytes() + tkeys[k].tobytes() + keys[k, 4 * DEPTH :].tobytes() for k in range(a, b))
+                else:
+                    part = _votes(sketch).astype("<u4").tobytes()
+                out.append((int(tree[a]), keys[a, : _prefix(d)].tobytes(), b - a, part))
+        if out:
+            none = [pa.nulls(len(out), pa.int64())] * 5
+            yield pa.RecordBatch.from_arrays([*none, *(pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), list(_FOUND)[5:], strict=True))], schema=_FOUND)
+
+    return run
+
+
+def _regions(least: int):
+    """Parts sorted by region. Of a region that fits, all pairs; of a crowded one, its majority signature."""
+
+    def closed(tree, prefix, n, few, votes):
+        if n > REGION:
+            none = [pa.nulls(1, pa.int64())] * 5
+            return pa.RecordBatch.from_arrays([*none, pa.array([tree], pa.int32()), pa.array([prefix]), pa.array([n], pa.int64()), pa.array([_middle(votes).tobytes()])], schema=_FOUND)
+        at = np.array([(i, j) for j in range(n) for i in range(j)], np.int64).reshape(-1, 2)
+        rows = np.frombuffer(b"".join(few), _ROW)
+        score = _matches(rows["sketch"][at[:, 0]], rows["sketch"][at[:, 1]])
+        at, score = at[score >= least], score[score >= least]
+        return _pair_batch(rows["id"], rows["key"], at[:, 0], at[:, 1], score)
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            for tree, prefix, n, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held is None or held[:2] != [tree, prefix]:
+                    if held:
+                        yield closed(*held)
+                    held = [tree, prefix, 0, [], np.zeros((16, N_HASH), np.int64)]
+                held[2] += n
+                if n > REGION:
+                    held[4] += np.frombuffer(part, "<u4").reshape(16, N_HASH)
+                else:
+                    held[4] += _votes(np.frombuffer(part, _ROW)["sketch"])
+                    if held[2] <= REGION:
+                        held[3].append(part)
+        if held:
+            yield closed(*held)
+
+    return run
+
+
+_ROW = np.dtype([("id", "<i8"), ("key", "<i8"), ("sketch", "u1", (N_HASH // 2,))])
+
+
+def _members(regions: list[tuple[int, bytes]]):
+    """A function of signatures that yields (region, rows in it); a region's shorter prefixes are regions, too."""
+    at = {r: k for k, r in enumerate(regions)}
+    below: dict[int, list[int]] = {}
+    tops: dict[int, list[tuple[int, int]]] = {}
+    column = lambda size: size // 4 - 1 if size <= 4 * DEPTH else size - 4 * DEPTH - 1 + DEPTH
+    last = [int.from_bytes(p[-4:], "big") if len(p) <= 4 * DEPTH else p[-1] for _, p in regions]
+    for (tree, p), k in at.items():
+        if len(p) == 4:
+            tops.setdefault(tree, []).append((last[k], k))
+        else:
+            below.setdefault(at[tree, p[: len(p) - (4 if len(p) <= 4 * DEPTH else 1)]], []).append(k)
+
+    def run(sig: np.ndarray, sketch: np.ndarray):
+        for tree, found in tops.items():
+            order = np.argsort(sig[:, tree, 0], kind="stable")
+            first = sig[order, tree, 0]
+            values = np.array([v for v, _ in found], np.uint32)
+            lo, hi = np.searchsorted(first, values), np.searchsorted(first, values, "right")
+            todo = [(found[k][1], order[lo[k] : hi[k]]) for k in np.flatnonzero(hi > lo)]
+            while todo:
+                k, rows = todo.pop()
+                yield k, rows
+                for j in below.get(k, ()):
+                    d = column(len(regions[j][1]))
+                    own = sig[rows, tree, d] if d < DEPTH else sketch[rows, (d - DEPTH + 2 * tree) % (N_HASH // 2)]
+                    if len(inside := rows[own == last[j]]):
+                        todo.append((j, inside))
+
+    return run
+
+
+def _sketched(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    sig = np.frombuffer(b"".join(x.as_py() for x in column), ">u4").reshape(-1, TREES, DEPTH).astype(np.uint32)
+    nibbles = (sig.reshape(-1, N_HASH) & 15).astype(np.uint8)
+    return sig, (nibbles[:, 0::2] << 4) | nibbles[:, 1::2]
+
+
+def _nearest(regions: list, middles: np.ndarray):
+    """Of each batch and region, the row nearest to the region's majority."""
+
+    def run(batches):
+        members = _members(regions)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sig, sketch = _sketched(batch.column(2))
+            ids, tkeys, out = batch.column(0).to_numpy(), batch.column(1).to_numpy(), []
+            for k, rows in members(sig, sketch):
+                score = _matches(sketch[rows], middles[k][None])
+                i = rows[score.argmax()]
+                out.append((k, int(score.max()), int(ids[i]), int(tkeys[i]), sketch[i].tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["region", "score", "id", "key", "sketch"])
+
+    return run
+
+
+def _to_hubs(regions: list, hubs: np.ndarray, least: int):
+    """Every row of a region with the region's hub."""
+
+    def run(batches):
+        members = _members(regions)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sig, sketch = _sketched(batch.column(2))
+            ids, tkeys, out = batch.column(0).to_numpy(), batch.column(1).to_numpy(), {}
+            for k, rows in members(sig, sketch):
+                out.setdefault(hubs[k].tobytes(), []).append(rows)
+            for hub, rows in out.items():
+                h, rows = np.frombuffer(hub, _ROW), np.unique(np.concatenate(rows))
+                score = _matches(sketch[rows], h["sketch"])
+                ok = (score >= least) & ((ids[rows] != h["id"]) | (tkeys[rows] != h["key"]))
+                rows, score = rows[ok], score[ok]
+                if len(rows):
+                    both = np.arange(len(rows))
+                    yield _pair_batch(np.append(ids[rows], h["id"]), np.append(tkeys[rows], h["key"]), both, np.full(len(rows), len(rows)), score).select([0, 1, 2, 3, 4])
 
     return run
 
@@ -186,7 +366,22 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
     n = shuffle_partitions(classes.sparkSession)
     planted = classes.select("doc_id", "tkey", "sig").mapInArrow(_planted, "tree int, key binary, doc_id long, tkey long")
     order = ["tree", "key", "doc_id", "tkey"]
-    found = planted.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_neighbours(least_matches(percent)), "a_id long, a_key long, b_id long, b_key long, score long")
+    least = least_matches(percent)
+    pairs, parts = [c.split(" ")[0] for c in _PAIRS.split(", ")], [c.split(" ")[0] for c in _PARTS.split(", ")]
+    found = cut(planted.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_neighbours(least), f"{_PAIRS}, {_PARTS}"))
+    edges = found.where("tree IS NOT NULL").select(*parts).repartition(n, "tree", "prefix").sortWithinPartitions("tree", "prefix")
+    edges = cut(edges.mapInArrow(_regions(least), f"{_PAIRS}, {_PARTS}"))
+    found = found.where("tree IS NULL").select(*pairs).union(edges.where("tree IS NULL").select(*pairs))
+    # a few regions for each batch of sorted rows reach the driver
+    crowded = edges.where("tree IS NOT NULL").select("tree", "prefix", "part").collect()
+    if crowded:
+        regions = [(r["tree"], bytes(r["prefix"])) for r in crowded]
+        middles = np.stack([np.roll(np.frombuffer(bytes(r["part"]), np.uint8), 2 * r["tree"]) for r in crowded])
+        near = classes.select("doc_id", "tkey", "sig").mapInArrow(_nearest(regions, middles), "region long, score long, id long, key long, sketch binary")
+        hubs = np.zeros(len(regions), _ROW)
+        for r in near.groupBy("region").agg(F.max(F.struct("score", "id", "key", "sketch")).alias("m")).collect():
+            hubs[r["region"]] = r["m"]["id"], r["m"]["key"], np.frombuffer(bytes(r["m"]["sketch"]), np.uint8)
+        found = found.union(classes.select("doc_id", "tkey", "sig").mapInArrow(_to_hubs(regions, hubs, least), _PAIRS))
     return found.groupBy(_node("a").alias("a"), _node("b").alias("b")).agg(F.max("score").alias("score"))
 
 

@@ -355,6 +355,24 @@ def test_a_group_with_a_common_original(spark):
     assert multiset((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got) == linked(rows, 2, 80)
 
 
+def test_a_group_over_many_batches_finds_its_original(spark):
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(120)]
+    rows = [(5000, " ".join(base))]
+    for i in range(1500):
+        copy = list(base)
+        for k in rng.sample(range(1, 119, 2), 6):
+            copy[k] = f"x{i}_{k}"
+        rows.append((i, " ".join(copy)))
+    classes = spark.createDataFrame([(i, 0, near_dedup.signature(near_dedup.shingles(t, 2)).tobytes()) for i, t in rows], "doc_id long, tkey long, sig binary")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        met = near_dedup.candidates(classes, 80).where("a.id = 5000 OR b.id = 5000").count()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert met == 1500
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(250)] + [(i, i + 1) for i in range(400, 480)]
