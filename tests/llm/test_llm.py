@@ -436,6 +436,18 @@ def test_multiset_hash():
     assert fingerprints.likeness(whole, whole) == 1.0 and fingerprints.likeness(whole, part) > 0.6 > 0.3 > fingerprints.likeness(whole, other)
 
 
+@pytest.mark.parametrize("n1,n2", [(500, 500), (10_000, 10_000), (20_000, 50), (50_000, 50_000)])
+def test_likeness_of_unrelated_texts(n1, n2):
+    a, b = (fingerprints.fingerprint("\n".join(f"{name} {k}" for k in range(n))) for name, n in (("one", n1), ("two", n2)))
+    assert fingerprints.likeness(a, b) < 0.3
+
+
+def test_likeness_of_long_texts():
+    lines = [f"line {k}" for k in range(50_000)]
+    a, b = fingerprints.fingerprint("\n".join(lines)), fingerprints.fingerprint("\n".join(lines[:40_000] + [f"new {k}" for k in range(10_000)]))
+    assert abs(fingerprints.likeness(a, b) - 0.8) < 0.1
+
+
 # 8: quality
 
 
