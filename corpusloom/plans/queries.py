@@ -183,6 +183,12 @@ def cer_pairs(spark, d):
     return p.select("conv_id", "turn", F.length("ref").alias("n"), rates.cer(F.col("ref"), F.col("hyp")).alias("cer"))
 
 
+def cer_pairs_whole(spark, d):
+    """As cer_pairs, over the texts as they are; no SQL, as DuckDB's levenshtein counts bytes."""
+    p = roles.pairs(spark, d).withColumn("ref", T.normalize_for_comparison(F.col("ref"))).withColumn("hyp", T.normalize_for_comparison(F.col("hyp")))
+    return p.select("conv_id", "turn", F.length("ref").alias("n"), rates.cer(F.col("ref"), F.col("hyp")).alias("cer"))
+
+
 def wer_pairs(spark, d):
     p = roles.pairs(spark, d).withColumn("ref", T.normalize_for_comparison(F.col("ref"))).withColumn("hyp", T.normalize_for_comparison(F.col("hyp")))
     return p.select("conv_id", "turn", F.size(F.split("ref", " ")).alias("n"), rates.wer(F.col("ref"), F.col("hyp")).alias("wer"))
@@ -369,7 +375,7 @@ QUERIES = {
         export_join, export_include_rejected, export_include_flagged, export_skip_reasons, latest_decision, decision_compaction, decision_tally,
         decision_audit_count, review_progress, resume_pending_ok_only, resume_pending_any, dedup_against_existing, clean_text, word_count,
         script_ratio, text_hash, validate_reasons, validate_reason_counts, accept_candidates, plan_targets, plan_deficit, plan_next_category,
-        append_union, distinct_hashes, round_robin_voice, audio_record_defaults, voice_slug_id, qa_normalize, cer_pairs, wer_pairs, speaking_rate,
+        append_union, distinct_hashes, round_robin_voice, audio_record_defaults, voice_slug_id, qa_normalize, cer_pairs, cer_pairs_whole, wer_pairs, speaking_rate,
         quality_flags, auto_status_counts, flag_reason_counts, review_queue, review_decisions, next_unreviewed, navigation, review_display,
         review_record, cer_summary, cer_by_voice, cer_by_category, category_ratio, reject_rate_by_voice, histogram_18,
         order_statistics_by_category, cube_voice_category, stratified_sample_24, dataset_card_stats, verify_distribution, verify_durations,

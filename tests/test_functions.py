@@ -128,3 +128,14 @@ def test_rounding_to_even(spark):
     assert [one(spark, F.bround(F.lit(x)), x=1) for x in (12.5, 37.5)] == [12.0, 38.0]
     # on ties of the decimal form Spark and exact binary rounding may differ in the last place
     assert abs(one(spark, F.bround(F.lit(0.1235), 3), x=1) - round(0.1235, 3)) < 1.1e-3
+
+
+def test_cer_pairs_whole_counts_letters_beyond_ascii(spark, monkeypatch):
+    from corpusloom.plans import queries
+
+    pairs = [(1, 0, "\u0643\u062a\u0627\u0628", "\u0628\u0627\u0628\u0627"), (2, 0, "caf\u00e9", "caf\u00e8")]
+    monkeypatch.setattr(queries.roles, "pairs", lambda *_: spark.createDataFrame(pairs, "conv_id long, turn int, ref string, hyp string"))
+    normal = {r["conv_id"]: r for r in spark.createDataFrame(pairs, "conv_id long, turn int, ref string, hyp string").select("conv_id", T.normalize_for_comparison(F.col("ref")).alias("ref"), T.normalize_for_comparison(F.col("hyp")).alias("hyp")).collect()}
+    for r in queries.cer_pairs_whole(spark, "").collect():
+        want = normal[r["conv_id"]]
+        assert r["cer"] == pytest.approx(_levenshtein(want["ref"], want["hyp"]) / len(want["ref"])) and r["cer"] > 0
