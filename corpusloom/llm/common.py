@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,10 +46,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The shared folder that the session names; one of our own only if it names none, as in tests."""
+    """The shared folder that the session names; one of our own only where it names none and all runs on this machine, as in tests."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or os.path.join(tempfile.gettempdir(), "corpusloom-checkpoints"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "corpusloom-checkpoints"))
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -55,8 +61,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-#: Word hashes that a worker process keeps; all stages of a run share them.
-WORD_CACHE = 150_000
+def unclashed(docs: DataFrame) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """The rows with every column but doc_id and text renamed, so that none meets a name of ours; and the way back, with ``text`` replaced if given."""
+    own = [c if c in ("doc_id", "text") else f"c{k}" for k, c in enumerate(docs.columns)]
+    return docs.toDF(*own), lambda df, text=None: df.select(*[(text if c == "text" and text is not None else F.col(c)).alias(name) for c, name in zip(own, docs.columns, strict=True)])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it lies."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+#: Word hashes that a worker process keeps while a task runs.
+WORD_CACHE = 50_000
 _word: dict[bytes, int] = {}
 
 
@@ -65,3 +83,30 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     if len(_word) > WORD_CACHE:
         _word.clear()
     return np.fromiter((_word.get(w) or _word.setdefault(w, xxhash.xxh64_intdigest(w)) for w in words), np.uint64, len(words))
+
+
+def other_word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words by a function of another family, so that what agrees in both agrees by chance in 2^-128."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def release() -> None:
+    """Give back what a worker process holds beyond its task: word hashes, Arrow's pool, free heap pages."""
+    _word.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library has no such call
+        pass
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, after which the worker process, which lives on, is as small as it can be."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped

@@ -7,15 +7,19 @@
    the tree's number. Sorted by range over many tasks, classes that share a long prefix stand side by side.
    Candidates of a class are its neighbours by longest common prefix: all of its region, where the
    depth that makes a region is adapted (the smallest prefix length, sketch bytes included, that
-   leaves at most REGION classes), and where DEPTH minima leave more, the next NEAREST classes. In
-   every larger region, at each depth, the class nearest to the region's majority signature is a
-   candidate of all others, so that a group of many copies finds its common original. Regions that
-   go on in other batches or tasks are counted there, too: their parts are summed, and all their
-   rows meet one nearest class of the whole region. A candidate must agree
-   in enough minima for the similarity asked for. Candidates grow with classes, not with pairs.
-3. Candidates are confirmed on full shingle sets made from whole texts. First each class's most
-   similar partner; then, between components that are still apart, all others.
-4. Components: large and small stars in turn along confirmed links.
+   leaves at most REGION classes), and where DEPTH minima leave more, the next NEAREST classes.
+   What a row meets depends on the CONTEXT rows around it alone; rows beside a task's border meet
+   again in a second, small pass. So candidates are the same for any number of tasks or batch size.
+3. Regions of more than REGION classes (at the depths in CROWDED) are summed to their majority
+   signature; the class nearest to it, the hub, is a candidate of all others, so that a group of
+   many copies finds its common original. Regions meet their rows in joins, never on the driver.
+4. A candidate must agree in enough minima for the similarity asked for; it is confirmed on full
+   shingle sets made from whole texts. First each class's most similar partner; then, between
+   components that are still apart, all others.
+5. The rest of crowded regions: classes that the steps above leave outside the largest component of
+   a region of DEPTH minima are compared with the whole region, sketch by sketch, in blocks, and
+   confirmed as above. Their number is small where a crowd is one group; nothing is capped.
+6. Components: every node takes its least neighbour as label, edges are renamed, until none is left.
 
 Defined cases: a null or blank text has an empty set and is linked with nothing; a text of fewer
 words than a shingle is one shingle; a null id is linked with nothing, has no component and is
@@ -33,12 +37,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import cut, row_key, shuffle_partitions, word_hashes
+from corpusloom.llm.common import cut, lean, row_key, shuffle_partitions, unclashed, word_hashes
 
 TREES, DEPTH = 16, 4
 N_HASH = TREES * DEPTH
 LEVELS = DEPTH + N_HASH // 2
 REGION, NEAREST = 8, 3
+#: Rows on each side that decide what a row meets; rows of a border that a second pass needs; minima that make a region with a hub.
+CONTEXT, HALO, CROWDED = 8, 24, (2, 3, 4)
+#: Rows of small tables (regions, hubs, borders) up to which they are broadcast; pairs of one class for each copy of its text; rows of a block.
+FEW, COPY_PAIRS, BLOCK = 50_000, 64, 512
 
 _rng = np.random.default_rng(20240229)
 _MUL = _rng.integers(0, 2**63, N_HASH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -108,12 +116,6 @@ def _planted(batches):
 _EQUAL = np.array([(b >> 4 == 0) + (b & 15 == 0) for b in range(256)], np.uint8)
 
 
-def _runs(depth_ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of runs, from whether each row continues the one before."""
-    starts = np.flatnonzero(~depth_ok)
-    return starts, np.append(starts[1:], len(depth_ok))
-
-
 def _matches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _EQUAL[a ^ b].sum(axis=1, dtype=np.int64)
 
@@ -139,214 +141,214 @@ def _middle(votes: np.ndarray) -> np.ndarray:
     return ((most[: N_HASH // 2] << 4) | most[N_HASH // 2 :]).astype(np.uint8)
 
 
-def _prefix(d: int) -> int:
-    """Bytes of a key that make a region of level d."""
-    return 4 * (d + 1) if d < DEPTH else 4 * DEPTH + d + 1 - DEPTH
-
-
 _PAIRS = "a_id long, a_key long, b_id long, b_key long, score long"
-_PARTS = "tree int, prefix binary, n long, part binary"
-_FOUND = pa.schema([*((c, pa.int64()) for c in ("a_id", "a_key", "b_id", "b_key", "score")), ("tree", pa.int32()), ("prefix", pa.binary()), ("n", pa.int64()), ("part", pa.binary())])
+_FOUND = f"{_PAIRS}, tree int, prefix binary, n long, part binary"
+_SCHEMA = pa.schema([*((c, pa.int64()) for c in ("a_id", "a_key", "b_id", "b_key", "score")), ("tree", pa.int32()), ("prefix", pa.binary()), ("n", pa.int64()), ("part", pa.binary())])
 
 
 def _pair_batch(ids, tkeys, a, b, score) -> pa.RecordBatch:
     swap = (ids[a] > ids[b]) | (ids[a] == ids[b]) & (tkeys[a] > tkeys[b])
     a, b = np.where(swap, b, a), np.where(swap, a, b)
-    none = [pa.nulls(len(a), f.type) for f in list(_FOUND)[5:]]
-    return pa.RecordBatch.from_arrays([*(pa.array(x) for x in (ids[a], tkeys[a], ids[b], tkeys[b], score)), *none], schema=_FOUND)
+    return _found(a_id=ids[a], a_key=tkeys[a], b_id=ids[b], b_key=tkeys[b], score=score)
+
+
+def _found(**columns) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _SCHEMA], schema=_SCHEMA)
+
+
+def _near_pairs(shared: np.ndarray, sketch: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of sorted rows that are candidates, and the minima that agree; shared: columns that each row has in common with the one before."""
+    n = len(shared)
+    depth = np.zeros((CONTEXT, n), np.int64)  # common depth of rows i and i + s + 1
+    reach = np.full(n, LEVELS)
+    for s in range(min(CONTEXT, n - 1)):
+        reach = np.minimum(reach[: n - s - 1], shared[s + 1 :])
+        depth[s, : n - s - 1] = reach
+    both = np.zeros((2 * CONTEXT, n), np.int64)
+    both[:CONTEXT] = depth
+    for s in range(min(CONTEXT, n - 1)):
+        both[CONTEXT + s, s + 1 :] = depth[s, : n - s - 1]
+    # the least depth that leaves at most REGION rows; LEVELS + 1: none does
+    need = 1 + np.sort(both, axis=0)[2 * CONTEXT - REGION]
+    found = []
+    for s in range(1, min(REGION, n)):
+        i = np.arange(n - s)
+        common = depth[s - 1, : n - s]
+        ok = (common >= np.minimum(need[i], need[i + s])) | ((s <= NEAREST) & (common >= DEPTH)) | ((s == 1) & (common >= 1))
+        found.append(np.stack([i[ok], i[ok] + s], axis=1))
+    at = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    score = _matches(sketch[at[:, 0]], sketch[at[:, 1]])
+    return at[score >= least], score[score >= least]
+
+
+class _Crowds:
+    """Runs of rows with one prefix, depth by depth; one that goes on in the next batch is held as a sum of votes."""
+
+    def __init__(self):
+        self.held: dict[int, list] = {}  # depth: tree, prefix, rows, votes, whether it began with the task
+
+    def add(self, tree, keys, shared, first: bool) -> list[tuple]:
+        """Closed runs that are crowded, or that may go on in the task before; shared[0] is with the row before the batch."""
+        out = []
+        for depth in CROWDED:
+            starts = np.flatnonzero(shared < depth)
+            goes_on = not (len(starts) and starts[0] == 0)
+            starts = np.concatenate([[0], starts]) if goes_on else starts
+            ends = np.append(starts[1:], len(shared))
+            if not goes_on and depth in self.held:
+                out += self._closed(self.held.pop(depth))
+            for k in np.flatnonzero((ends - starts > REGION) | (np.arange(len(starts)) == 0) | (ends == len(shared))):
+                a, b = int(starts[k]), int(ends[k])
+                votes = _votes(keys[a:b, 4 * DEPTH :])
+                if k == 0 and goes_on and depth in self.held:
+                    run = self.held.pop(depth)
+                    run[2] += b - a
+                    run[3] = run[3] + votes
+                else:
+                    run = [int(tree[a]), keys[a, : 4 * depth].tobytes(), b - a, votes, first and k == 0]
+                if b == len(shared):
+                    self.held[depth] = run
+                else:
+                    out += self._closed(run)
+        return out
+
+    @staticmethod
+    def _closed(run: list, last: bool = False) -> list[tuple]:
+        return [tuple(run[:4])] if last or run[4] or run[2] > REGION else []
+
+    def end(self) -> list[tuple]:
+        return [x for run in self.held.values() for x in self._closed(run, True)]
 
 
 def _neighbours(least: int):
-    def pairs(alike, sketch):
-        """Index pairs within one sorted stretch of rows."""
-        n = len(sketch)
-        need, found, hubs = np.full(n, LEVELS + 1), [], {}  # the least depth that fits; LEVELS + 1: none
-        for d in range(LEVELS):
-            starts, ends = _runs(alike[:, d])
-            size = ends - starts
-            need[np.repeat(size <= REGION, size) & (need > LEVELS)] = d + 1
-            if not (size > REGION).any():
-                break
-            before, hubs = hubs, {}
-            for a, b in zip(starts[size > REGION].tolist(), ends[size > REGION].tolist(), strict=True):
-                if (a, b) in before:
-                    hubs[a, b] = before[a, b]
-                    continue
-                own = sketch[a:b]
-                hub = hubs[a, b] = a + int(_matches(own, _middle(_votes(own))[None]).argmax())
-                others = np.arange(a, b)
-                found.append(np.stack([others, np.full(b - a, hub)], axis=1)[others != hub])
-        shared = alike.sum(axis=1)  # with the row before
-        reach = np.full(n, LEVELS)
-        for s in range(1, REGION):
-            if s >= n:
-                break
-            reach = np.minimum(reach[1:], shared[s:])  # common depth of rows i and i + s
-            i = np.arange(len(reach))
-            ok = (reach >= np.minimum(need[i], need[i + s])) | ((s <= NEAREST) & (reach >= DEPTH)) | ((s == 1) & (reach >= 1))
-            found.append(np.stack([i[ok], i[ok] + s], axis=1))
-        return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    """Sorted rows of one task. Pairs whose context lies inside the task; the task's border rows and their number (tree -1); crowded runs."""
+
+    def crowds(rows: list[tuple]):
+        if rows:
+            tree, prefix, n, votes = zip(*rows, strict=True)
+            yield _found(tree=tree, prefix=prefix, n=n, part=[v.astype("<u4").tobytes() for v in votes])
+
+    def border(task, rows, begin, at):
+        """Rows that may be met from other tasks: b_id says which task, n the place in it; ``rows`` begin at a place."""
+        if len(at):
+            some = rows.take(pa.array(at - begin))
+            yield _found(a_id=some.column(2), a_key=some.column(3), b_id=np.full(len(at), task), tree=some.column(0), prefix=some.column(1), n=at)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        rest, before = None, LEVELS  # the last rows; how deep the batch may be one region with the rows before it
-        batches = (b for b in batches if b.num_rows)
-        batch = next(batches, None)
-        while batch is not None:
-            following = next(batches, None)
+        from pyspark import TaskContext
+
+        task, rest, begin, total, open_runs = TaskContext.get().partitionId(), None, 0, 0, _Crowds()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
             old = rest.num_rows if rest else 0
-            rows = pa.Table.from_batches([b for b in (rest, batch, following and following.slice(0, 1)) if b is not None]).combine_chunks().to_batches()[0]
+            rows = pa.Table.from_batches([b for b in (rest, batch) if b is not None]).combine_chunks().to_batches()[0]
             tree = rows.column(0).to_numpy()
             keys = np.frombuffer(b"".join(x.as_py() for x in rows.column(1)), np.uint8).reshape(len(tree), -1)
-            ids, tkeys, sketch = rows.column(2).to_numpy(), rows.column(3).to_numpy(), keys[:, 4 * DEPTH :]
-            alike = _alike(tree, keys)
-            end = old + batch.num_rows
-            behind = int(alike[end].sum()) if following is not None else LEVELS
-            at = pairs(alike[:end], sketch[:end])
-            score = _matches(sketch[at[:, 0]], sketch[at[:, 1]])
-            at, score = at[score >= least], score[score >= least]
-            if len(at):
-                yield _pair_batch(ids, tkeys, at[:, 0], at[:, 1], score)
-            yield from edges(tree, keys, ids, tkeys, alike, old, end, before, behind)
-            before, rest = behind, rows.slice(max(0, end - REGION), min(REGION, end))
-            batch = following
-
-    def edges(tree, keys, ids, tkeys, alike, start, end, before, behind):
-        """What regions that may go on outside the batch have inside it: few rows as they are, of many the votes."""
-        out = []
-        for d in range(max(before, behind)):
-            breaks = start + 1 + np.flatnonzero(~alike[start + 1 : end, d])
-            runs = {(start, int(breaks[0]) if len(breaks) else end)} if d < before else set()
-            if d < behind:
-                runs.add((int(breaks[-1]) if len(breaks) else start, end))
-            for a, b in runs:
-                sketch = keys[a:b, 4 * DEPTH :]
-                if b - a <= REGION:
-                    part = b"".join(ids[k].tobytes() + tkeys[k].tobytes() + keys[k, 4 * DEPTH :].tobytes() for k in range(a, b))
-                else:
-                    part = _votes(sketch).astype("<u4").tobytes()
-                out.append((int(tree[a]), keys[a, : _prefix(d)].tobytes(), b - a, part))
-        if out:
-            none = [pa.nulls(len(out), pa.int64())] * 5
-            yield pa.RecordBatch.from_arrays([*none, *(pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), list(_FOUND)[5:], strict=True))], schema=_FOUND)
+            ids, tkeys = rows.column(2).to_numpy(), rows.column(3).to_numpy()
+            shared = _alike(tree, keys).sum(axis=1)
+            yield from crowds(open_runs.add(tree[old:], keys[old:], shared[old:], total == 0))
+            at, score = _near_pairs(shared, keys[:, 4 * DEPTH :], least)
+            # the context of a pair is CONTEXT rows before it and behind it; what has too few before it was met in the last batch
+            ok = (at[:, 0] >= CONTEXT) & (at[:, 1] + CONTEXT < len(tree)) & (at[:, 1] + CONTEXT >= old)
+            if ok.any():
+                yield _pair_batch(ids, tkeys, at[ok, 0], at[ok, 1], score[ok])
+            if total < HALO:
+                yield from border(task, rows, begin, np.arange(total, min(HALO, total + batch.num_rows)))
+            total += batch.num_rows
+            keep = min(len(tree), 2 * HALO)
+            rest, begin = rows.slice(len(tree) - keep, keep), total - keep
+        if total:
+            yield from crowds(open_runs.end())
+            yield from border(task, rest, begin, np.arange(max(HALO, total - HALO), total))
+            yield _found(tree=[-1], b_id=[task], n=[total])
 
     return run
 
 
-def _regions(least: int):
-    """Parts sorted by region. Of a region that fits, all pairs; of a crowded one, its majority signature."""
+def _at_borders(least: int):
+    """Rows come sorted by border and place. Pairs whose context holds the border."""
 
-    def closed(tree, prefix, n, few, votes):
-        if n > REGION:
-            none = [pa.nulls(1, pa.int64())] * 5
-            return pa.RecordBatch.from_arrays([*none, pa.array([tree], pa.int32()), pa.array([prefix]), pa.array([n], pa.int64()), pa.array([_middle(votes).tobytes()])], schema=_FOUND)
-        at = np.array([(i, j) for j in range(n) for i in range(j)], np.int64).reshape(-1, 2)
-        rows = np.frombuffer(b"".join(few), _ROW)
-        score = _matches(rows["sketch"][at[:, 0]], rows["sketch"][at[:, 1]])
-        at, score = at[score >= least], score[score >= least]
-        return _pair_batch(rows["id"], rows["key"], at[:, 0], at[:, 1], score)
+    def met(border, rows):
+        place, tree, keys, ids, tkeys = zip(*rows, strict=True)
+        place, tree, ids, tkeys = (np.array(c, np.int64) for c in (place, tree, ids, tkeys))
+        keys = np.frombuffer(b"".join(keys), np.uint8).reshape(len(tree), -1)
+        at, score = _near_pairs(_alike(tree, keys).sum(axis=1), keys[:, 4 * DEPTH :], least)
+        ok = (place[at[:, 0]] - CONTEXT < border) & (place[at[:, 1]] + CONTEXT >= border)
+        return _pair_batch(ids, tkeys, at[ok, 0], at[ok, 1], score[ok]).select([0, 1, 2, 3, 4])
 
     def run(batches):
         held = None
         for batch in batches:
-            for tree, prefix, n, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held is None or held[:2] != [tree, prefix]:
+            for border, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held is None or held[0] != border:
                     if held:
-                        yield closed(*held)
-                    held = [tree, prefix, 0, [], np.zeros((16, N_HASH), np.int64)]
-                held[2] += n
-                if n > REGION:
-                    held[4] += np.frombuffer(part, "<u4").reshape(16, N_HASH)
-                else:
-                    held[4] += _votes(np.frombuffer(part, _ROW)["sketch"])
-                    if held[2] <= REGION:
-                        held[3].append(part)
+                        yield met(*held)
+                    held = (border, [])
+                held[1].append(tuple(row))
         if held:
-            yield closed(*held)
+            yield met(*held)
 
     return run
 
 
-_ROW = np.dtype([("id", "<i8"), ("key", "<i8"), ("sketch", "u1", (N_HASH // 2,))])
-
-
-def _members(regions: list[tuple[int, bytes]]):
-    """A function of signatures that yields (region, rows in it); a region's shorter prefixes are regions, too."""
-    at = {r: k for k, r in enumerate(regions)}
-    below: dict[int, list[int]] = {}
-    tops: dict[int, list[tuple[int, int]]] = {}
-    column = lambda size: size // 4 - 1 if size <= 4 * DEPTH else size - 4 * DEPTH - 1 + DEPTH
-    last = [int.from_bytes(p[-4:], "big") if len(p) <= 4 * DEPTH else p[-1] for _, p in regions]
-    for (tree, p), k in at.items():
-        if len(p) == 4:
-            tops.setdefault(tree, []).append((last[k], k))
-        else:
-            below.setdefault(at[tree, p[: len(p) - (4 if len(p) <= 4 * DEPTH else 1)]], []).append(k)
-
-    def run(sig: np.ndarray, sketch: np.ndarray):
-        for tree, found in tops.items():
-            order = np.argsort(sig[:, tree, 0], kind="stable")
-            first = sig[order, tree, 0]
-            values = np.array([v for v, _ in found], np.uint32)
-            lo, hi = np.searchsorted(first, values), np.searchsorted(first, values, "right")
-            todo = [(found[k][1], order[lo[k] : hi[k]]) for k in np.flatnonzero(hi > lo)]
-            while todo:
-                k, rows = todo.pop()
-                yield k, rows
-                for j in below.get(k, ()):
-                    d = column(len(regions[j][1]))
-                    own = sig[rows, tree, d] if d < DEPTH else sketch[rows, (d - DEPTH + 2 * tree) % (N_HASH // 2)]
-                    if len(inside := rows[own == last[j]]):
-                        todo.append((j, inside))
+def _regions(batches):
+    """Sums of votes come sorted by region. The majority signature of each crowded one."""
+    held = None
 
-    return run
+    def closed(tree, prefix, n, votes):
+        if n > REGION:
+            yield pa.RecordBatch.from_arrays([pa.array([tree], pa.int32()), pa.array([prefix]), pa.array([n], pa.int64()), pa.array([np.roll(_middle(votes), 2 * tree).tobytes()])], ["tree", "prefix", "n", "middle"])
 
+    for batch in batches:
+        for tree, prefix, n, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if held is None or held[:2] != [tree, prefix]:
+                if held:
+                    yield from closed(*held)
+                held = [tree, prefix, 0, np.zeros((16, N_HASH), np.int64)]
+            held[2] += n
+            held[3] += np.frombuffer(part, "<u4").reshape(16, N_HASH)
+    if held:
+        yield from closed(*held)
 
-def _sketched(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    sig = np.frombuffer(b"".join(x.as_py() for x in column), ">u4").reshape(-1, TREES, DEPTH).astype(np.uint32)
-    nibbles = (sig.reshape(-1, N_HASH) & 15).astype(np.uint8)
-    return sig, (nibbles[:, 0::2] << 4) | nibbles[:, 1::2]
 
+def _sketches(column: pa.Array) -> np.ndarray:
+    """One row of four-bit minima, two to a byte, for each signature."""
+    nibbles = (np.frombuffer(b"".join(x.as_py() for x in column), ">u4").reshape(-1, N_HASH) & 15).astype(np.uint8)
+    return (nibbles[:, 0::2] << 4) | nibbles[:, 1::2]
 
-def _nearest(regions: list, middles: np.ndarray):
-    """Of each batch and region, the row nearest to the region's majority."""
 
-    def run(batches):
-        members = _members(regions)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sig, sketch = _sketched(batch.column(2))
-            ids, tkeys, out = batch.column(0).to_numpy(), batch.column(1).to_numpy(), []
-            for k, rows in members(sig, sketch):
-                score = _matches(sketch[rows], middles[k][None])
-                i = rows[score.argmax()]
-                out.append((k, int(score.max()), int(ids[i]), int(tkeys[i]), sketch[i].tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["region", "score", "id", "key", "sketch"])
+def _bytes(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(x.as_py() for x in column), np.uint8).reshape(len(column), -1)
 
-    return run
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    return pa.array([r.tobytes() for r in rows], pa.binary())
 
 
-def _to_hubs(regions: list, hubs: np.ndarray, least: int):
-    """Every row of a region with the region's hub."""
+def _towards(batches):
+    """region, depth, id, key, sig, middle: how near each row is to its region's majority, and its sketch."""
+    for batch in batches:
+        if batch.num_rows:
+            sketch = _sketches(batch.column(4))
+            score = _matches(sketch, _bytes(batch.column(5)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), _binary(sketch), pa.array(score)], ["region", "depth", "id", "key", "sketch", "score"])
+
+
+def _to_hubs(least: int):
+    """id, key, sketch and the hub's: pairs that agree in enough minima."""
 
     def run(batches):
-        members = _members(regions)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig, sketch = _sketched(batch.column(2))
-            ids, tkeys, out = batch.column(0).to_numpy(), batch.column(1).to_numpy(), {}
-            for k, rows in members(sig, sketch):
-                out.setdefault(hubs[k].tobytes(), []).append(rows)
-            for hub, rows in out.items():
-                h, rows = np.frombuffer(hub, _ROW), np.unique(np.concatenate(rows))
-                score = _matches(sketch[rows], h["sketch"])
-                ok = (score >= least) & ((ids[rows] != h["id"]) | (tkeys[rows] != h["key"]))
-                rows, score = rows[ok], score[ok]
-                if len(rows):
-                    both = np.arange(len(rows))
-                    yield _pair_batch(np.append(ids[rows], h["id"]), np.append(tkeys[rows], h["key"]), both, np.full(len(rows), len(rows)), score).select([0, 1, 2, 3, 4])
+            ids, tkeys, h_ids, h_keys = (batch.column(i).to_numpy() for i in (0, 1, 3, 4))
+            score = _matches(_bytes(batch.column(2)), _bytes(batch.column(5)))
+            ok = np.flatnonzero((score >= least) & ((ids != h_ids) | (tkeys != h_keys)))
+            if len(ok):
+                n = len(ok)
+                yield _pair_batch(np.append(ids[ok], h_ids[ok]), np.append(tkeys[ok], h_keys[ok]), np.arange(n), np.arange(n, 2 * n), score[ok]).select([0, 1, 2, 3, 4])
 
     return run
 
@@ -361,140 +363,176 @@ def _node(prefix: str):
     return F.struct(F.col(f"{prefix}_id").alias("id"), F.col(f"{prefix}_key").alias("key"))
 
 
-def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """a, b, score: pairs of classes (doc_id, tkey, sig), each once."""
-    n = shuffle_partitions(classes.sparkSession)
-    planted = classes.select("doc_id", "tkey", "sig").mapInArrow(_planted, "tree int, key binary, doc_id long, tkey long")
+def _small(df: DataFrame) -> DataFrame:
+    """A materialised table, broadcast if a count says that it is small."""
+    return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df
+
+
+def _sorted_pairs(classes: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """Candidates among neighbours in the sorted orders, and the crowded regions: region, middle."""
+    spark, n = classes.sparkSession, shuffle_partitions(classes.sparkSession)
     order = ["tree", "key", "doc_id", "tkey"]
-    least = least_matches(percent)
-    pairs, parts = [c.split(" ")[0] for c in _PAIRS.split(", ")], [c.split(" ")[0] for c in _PARTS.split(", ")]
-    found = cut(planted.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_neighbours(least), f"{_PAIRS}, {_PARTS}"))
-    edges = found.where("tree IS NOT NULL").select(*parts).repartition(n, "tree", "prefix").sortWithinPartitions("tree", "prefix")
-    edges = cut(edges.mapInArrow(_regions(least), f"{_PAIRS}, {_PARTS}"))
-    found = found.where("tree IS NULL").select(*pairs).union(edges.where("tree IS NULL").select(*pairs))
-    # a few regions for each batch of sorted rows reach the driver
-    crowded = edges.where("tree IS NOT NULL").select("tree", "prefix", "part").collect()
-    if crowded:
-        regions = [(r["tree"], bytes(r["prefix"])) for r in crowded]
-        middles = np.stack([np.roll(np.frombuffer(bytes(r["part"]), np.uint8), 2 * r["tree"]) for r in crowded])
-        near = classes.select("doc_id", "tkey", "sig").mapInArrow(_nearest(regions, middles), "region long, score long, id long, key long, sketch binary")
-        hubs = np.zeros(len(regions), _ROW)
-        for r in near.groupBy("region").agg(F.max(F.struct("score", "id", "key", "sketch")).alias("m")).collect():
-            hubs[r["region"]] = r["m"]["id"], r["m"]["key"], np.frombuffer(bytes(r["m"]["sketch"]), np.uint8)
-        found = found.union(classes.select("doc_id", "tkey", "sig").mapInArrow(_to_hubs(regions, hubs, least), _PAIRS))
-    return found.groupBy(_node("a").alias("a"), _node("b").alias("b")).agg(F.max("score").alias("score"))
+    planted = classes.select("doc_id", "tkey", "sig").mapInArrow(_planted, "tree int, key binary, doc_id long, tkey long")
+    found = cut(planted.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(lean(_neighbours(least)), _FOUND))
+    pairs = found.where("tree IS NULL").select(*[c.split(" ")[0] for c in _PAIRS.split(", ")])
+    # one number a task reaches the driver; a border and the rows around it go to the tasks as a table of its own
+    sizes = sorted(tuple(r) for r in found.where("tree = -1").select("b_id", "n").collect())
+    begins = np.concatenate([[0], np.cumsum([k for _, k in sizes])]).astype(np.int64)
+    near = []
+    for k, (task, size) in enumerate(sizes):
+        lo, hi = np.searchsorted(begins, begins[k] - HALO, "right"), np.searchsorted(begins, begins[k] + size + HALO)
+        near += [(task, int(begins[k]), int(b)) for b in begins[lo:hi]]
+    marks = spark.createDataFrame(near, "b_id long, begin long, border long")
+    rows = found.where("tree >= 0 AND b_id IS NOT NULL").select("b_id", "n", "tree", F.col("prefix").alias("row_key"), F.col("a_id").alias("id"), F.col("a_key").alias("tkey"))
+    rows = rows.join(F.broadcast(marks), "b_id").withColumn("place", F.col("begin") + F.col("n")).where(f"place >= border - {HALO} AND place < border + {HALO}")
+    beside = rows.select("border", "place", "tree", "row_key", "id", "tkey").repartition(n, "border").sortWithinPartitions("border", "place").mapInArrow(_at_borders(least), _PAIRS)
+    parts = found.where("tree >= 0 AND part IS NOT NULL").select("tree", "prefix", "n", "part").repartition(n, "tree", "prefix").sortWithinPartitions("tree", "prefix")
+    regions = parts.mapInArrow(_regions, "tree int, prefix binary, n long, middle binary")
+    return pairs.union(beside), cut(regions.select(F.xxhash64("tree", "prefix").alias("region"), "middle"))
+
+
+def _crowd(classes: DataFrame, regions: DataFrame) -> DataFrame:
+    """region, depth, id, key, sketch, score: the rows of crowded regions, and how near they are to the majority."""
+    places = F.array(*[F.struct(F.xxhash64(F.lit(t), F.substring("sig", 4 * DEPTH * t + 1, 4 * d)).alias("region"), F.lit(d).alias("depth")) for t in range(TREES) for d in CROWDED])
+    rows = classes.select("doc_id", "tkey", "sig", F.explode(places).alias("p")).select(F.col("p.region").alias("region"), F.col("p.depth").alias("depth"), "doc_id", "tkey", "sig")
+    return cut(rows.join(_small(regions), "region").select("region", "depth", "doc_id", "tkey", "sig", "middle").mapInArrow(lean(_towards), "region long, depth int, id long, key long, sketch binary, score long"))
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs a, b whose full sets are similar; texts: node, text."""
+def candidates(classes: DataFrame, percent: int) -> DataFrame:
+    """a, b, score: pairs of classes (doc_id, tkey, sig), each once."""
+    return _candidates(classes, percent)[0]
 
-    def run(batches):
-        for batch in batches:
-            ok = [similar(shingles(x.as_py() or "", size), shingles(y.as_py() or "", size), percent) for x, y in zip(batch.column(4), batch.column(5), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(ok, pa.bool_())], ["a_id", "a_key", "b_id", "b_key", "ok"])
 
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a.id", "a.key", F.col("b.id").alias("b_id"), F.col("b.key").alias("b_key"), "a_text", "b_text")
-    return both.mapInArrow(run, "a_id long, a_key long, b_id long, b_key long, ok boolean").where("ok").select(_node("a").alias("a"), _node("b").alias("b"))
+def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The candidates, and the rows of crowded regions."""
+    least = least_matches(percent)
+    found, regions = _sorted_pairs(classes, least)
+    crowd = _crowd(classes, regions)
+    hubs = cut(crowd.groupBy("region").agg(F.max(F.struct("score", "id", "key", "sketch")).alias("m")).select("region", "m.id", "m.key", "m.sketch"))
+    hubs = hubs.select("region", F.col("id").alias("h_id"), F.col("key").alias("h_key"), F.col("sketch").alias("h_sketch"))
+    met = crowd.join(_small(hubs), "region").select("id", "key", "sketch", "h_id", "h_key", "h_sketch").mapInArrow(lean(_to_hubs(least)), _PAIRS)
+    return found.union(met).groupBy(_node("a").alias("a"), _node("b").alias("b")).agg(F.max("score").alias("score")), crowd
+
+
+def _strays(crowd: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """a, b: what stands outside the largest component of a crowded region, with all of the region that stands in another one and agrees in enough minima."""
+    node = F.struct("id", "key")
+    named = crowd.where(F.col("depth") == DEPTH).join(labels.select(F.col("node.id").alias("id"), F.col("node.key").alias("key"), "label"), ["id", "key"])
+    named = cut(named.select("region", node.alias("node"), "label", "sketch"))
+    own = named.groupBy("region", "label").agg(F.count("*").alias("n"))
+    top = own.groupBy("region").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("labels")).where("labels > 1")
+    top = cut(top.select("region", F.col("top.label").alias("top"), F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")))
+    if top.isEmpty():
+        return named.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    rows = named.join(_small(top), "region")
+    words = [F.conv(F.hex(F.substring("sketch", 8 * k + 1, 8)), 16, -10).cast("long").alias(f"w{k}") for k in range(4)]
+    apart = rows.where("label != top").select("region", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("node").alias("a"), F.col("label").alias("a_label"), *words)
+    whole = rows.select("region", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.col("node").alias("b"), F.col("label").alias("b_label"), *[w.alias(f"v{k}") for k, w in enumerate(words)])
+    ones = F.lit(0x1111111111111111).cast("long")
+
+    def agree(k: int):
+        x = F.col(f"w{k}").bitwiseXOR(F.col(f"v{k}"))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        return 16 - F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(ones))
+
+    met = apart.join(whole, ["region", "block"]).where((F.col("a_label") != F.col("b_label")) & (agree(0) + agree(1) + agree(2) + agree(3) >= least_matches(percent)))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _stars(large: bool):
-    """Rows u, v sorted by u, then v. Every neighbour of u that the step concerns is tied to the smallest one; u's rows are streamed, never gathered."""
+def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs a, b whose full sets are similar; texts: node, text. The text of a class with many pairs goes to as many tasks as its pairs need."""
 
     def run(batches):
-        last = None  # u, v and the smallest of the last row
+        seen, own = None, None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            uv = np.empty((batch.num_rows, 2), dtype=[("id", "i8"), ("key", "i8")])
-            for k, (at, name) in enumerate(((0, "id"), (1, "key"), (2, "id"), (3, "key"))):
-                uv[name][:, k // 2] = batch.column(at).to_numpy()
-            u, v = uv[:, 0], uv[:, 1]
-            start = np.ones(len(u), bool)
-            start[1:] = u[1:] != u[:-1]
-            first = np.maximum.accumulate(np.where(start, np.arange(len(u)), 0))
-            least = v[first].copy()
-            again = np.zeros(len(u), bool)
-            again[1:] = (u[1:] == u[:-1]) & (v[1:] == v[:-1])
-            if last is not None and last[0] == u[0]:
-                least[first == 0] = last[2]
-                again[0] = last[1] == v[0]
-                start[0] = False
-            last = u[-1], v[-1], least[-1]
-            if large:
-                below = _less(u, least)
-                least = np.where(below, u, least)
-                keep = _less(u, v) & ~again
-                a, b = v[keep], least[keep]
-            else:
-                keep = (v != least) & ~again
-                a, b = np.concatenate([v[keep], u[start]]), np.concatenate([least[keep], least[start]])
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in (a["id"], a["key"], b["id"], b["key"])], ["u_id", "u_key", "v_id", "v_key"])
-
-    return run
-
-
-def _less(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return (x["id"] < y["id"]) | (x["id"] == y["id"]) & (x["key"] < y["key"])
-
+            ok = []
+            for i in range(batch.num_rows):
+                at = batch.column(2)[i].as_py(), batch.column(3)[i].as_py()
+                if at != seen:
+                    seen, own = at, shingles(batch.column(5)[i].as_py() or "", size)
+                ok.append(similar(shingles(batch.column(4)[i].as_py() or "", size), own, percent))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(ok, pa.bool_())], ["a_id", "a_key", "b_id", "b_key", "ok"])
 
-def _step(edges: DataFrame, large: bool) -> DataFrame:
-    """edges: u > v. The large step looks at both directions of an edge, the small one at u's smaller neighbours."""
-    n = shuffle_partitions(edges.sparkSession)
-    if large:
-        edges = edges.union(edges.select(F.col("v_id").alias("u_id"), F.col("v_key").alias("u_key"), F.col("u_id").alias("v_id"), F.col("u_key").alias("v_key")))
-    order = ["u_id", "u_key", "v_id", "v_key"]
-    return edges.repartition(n, "u_id", "u_key").sortWithinPartitions(*order).mapInArrow(_stars(large), "u_id long, u_key long, v_id long, v_key long")
+    often = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count().where(F.col("count") > COPY_PAIRS))
+    often = _small(often.select("node", F.ceil(F.col("count") / COPY_PAIRS).cast("long").alias("copies")))
+    of = lambda c: often.select(F.col("node").alias(c), F.col("copies").alias(f"{c}_copies"))
+    known = pairs.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left").withColumn("swap", F.coalesce("a_copies", F.lit(1)) > F.coalesce("b_copies", F.lit(1)))
+    x, y = F.when(F.col("swap"), F.col("b")).otherwise(F.col("a")), F.when(F.col("swap"), F.col("a")).otherwise(F.col("b"))
+    turned = known.select(x.alias("x"), y.alias("y"), F.pmod(F.xxhash64(x), F.greatest(F.coalesce("a_copies", F.lit(1)), F.coalesce("b_copies", F.lit(1)))).alias("copy"))
+    left = texts.select(F.col("node").alias("x"), F.col("text").alias("x_text"))
+    right = texts.join(often, "node", "left").select(F.col("node").alias("y"), F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("copies", F.lit(1)) - 1)).alias("copy"), F.col("text").alias("y_text"))
+    both = turned.join(left, "x").join(right, ["y", "copy"]).select("x.id", "x.key", F.col("y.id").alias("b_id"), F.col("y.key").alias("b_key"), "x_text", "y_text")
+    met = both.mapInArrow(lean(run), "a_id long, a_key long, b_id long, b_key long, ok boolean").where("ok")
+    return met.select(F.least(_node("a"), _node("b")).alias("a"), F.greatest(_node("a"), _node("b")).alias("b"))
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, label: the smallest node that each linked node reaches; smallest ones are left out. Large and small stars in turn, until the edges stay the same; each round costs two shuffles."""
-    high, low = F.greatest("a", "b"), F.least("a", "b")
-    edges = cut(links.where("a != b").select(high["id"].alias("u_id"), high["key"].alias("u_key"), low["id"].alias("v_id"), low["key"].alias("v_key")))
-    before = None
-    while True:
-        for _ in range(2):
-            edges = _step(_step(edges, True), False)
-        edges = cut(edges)
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("*").cast("decimal(38, 0)"))).first())
-        if now == before or not now[0]:
-            return edges.select(F.struct(F.col("u_id").alias("id"), F.col("u_key").alias("key")).alias("node"), F.struct(F.col("v_id").alias("id"), F.col("v_key").alias("key")).alias("label"))
-        before = now
+    """node, label: the smallest node that each linked node reaches; smallest ones are left out.
+
+    Every node takes as label the first of its neighbours and itself by a hash (so that no order of ids makes long
+    chains); edges are renamed, and those inside a label go. Minima are summed up before they are shuffled, and the
+    joins are plain ones, whose large keys Spark splits; no node's edges have to be in one task.
+    """
+    by_hash = lambda c: F.struct(F.xxhash64(f"{c}.id", f"{c}.key").alias("h"), F.col(f"{c}.id").alias("id"), F.col(f"{c}.key").alias("key")).alias(c)
+    edges = cut(links.where("a != b").select(by_hash("a"), by_hash("b")))
+    found = None
+    while not edges.isEmpty():
+        ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct(F.col("b").alias("node"), F.col("a").alias("other")))).alias("e"))
+        least = cut(ends.groupBy(F.col("e.node").alias("node")).agg(F.min("e.other").alias("m")).select("node", F.least("node", "m").alias("label")))
+        found = least if found is None else found.join(least.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+        of = lambda c: least.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))  # noqa: B023, E731
+        renamed = edges.join(of("a"), "a").join(of("b"), "b").where("a_label != b_label")
+        edges = cut(renamed.select(F.least("a_label", "b_label").alias("a"), F.greatest("a_label", "b_label").alias("b")).distinct())
+    if found is None:
+        return links.select(F.col("a").alias("node"), F.col("b").alias("label")).limit(0)
+    found = found.select(F.struct("node.id", "node.key").alias("node"), F.col("label").alias("root"))
+    return found.join(found.groupBy("root").agg(F.min("node").alias("label")), "root").select("node", "label").where("node != label")
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """node, label after the links between labelled nodes, too."""
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+    between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).distinct()
+    roots = components(between).select(F.col("node").alias("label"), F.col("label").alias("root"))
+    return cut(labels.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label")))
 
 
 def classify(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, tkey, n_shingles, component_id, kept: a row for each row of ``docs``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(F.col("text")).alias("tkey"), F.col("text").alias("text"))
-    signed = cut(rows.mapInArrow(_signed(size), "doc_id long, tkey long, n_shingles long, d1 long, d2 long, sig binary"))
+    signed = cut(rows.mapInArrow(lean(_signed(size)), "doc_id long, tkey long, n_shingles long, d1 long, d2 long, sig binary"))
     node = F.struct(F.col("doc_id").alias("id"), F.col("tkey").alias("key"))
-    classes = cut(signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2").agg(F.min(node).alias("node"), F.first("sig").alias("sig")))
-    pairs = cut(candidates(classes.select(F.col("node.id").alias("doc_id"), F.col("node.key").alias("tkey"), "sig"), percent))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = rows.where(F.col("doc_id").isNotNull()).select(node.alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    texts = cut(texts)
+    linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    classes = cut(signed.where(linkable).groupBy("d1", "d2").agg(F.min(node).alias("node"), F.first("sig").alias("sig")))
+    found, crowd = _candidates(classes.select(F.col("node.id").alias("doc_id"), F.col("node.key").alias("tkey"), "sig"), percent)
+    pairs = cut(found)
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        return cut(rows.where(F.col("doc_id").isNotNull()).select(node.alias("node"), "text").join(nodes, "node", "left_semi").dropDuplicates(["node"]))
+
+    texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p"), "score")
     best = ends.groupBy("p.x").agg(F.max(F.struct("score", F.col("p.y"))).alias("m")).select(F.least("x", "m.y").alias("a"), F.greatest("x", "m.y").alias("b")).distinct()
-    sure = confirm(best, texts, size, percent)
-    first = components(sure)
-    of = lambda c: first.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
-    apart = pairs.join(best, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
-    apart = apart.withColumn("a_label", F.coalesce("a_label", "a")).withColumn("b_label", F.coalesce("b_label", "b")).where("a_label != b_label")
-    more = cut(confirm(apart, texts, size, percent))
-    joined = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b")).distinct()
-    second = components(joined).select(F.col("node").alias("label"), F.col("label").alias("root"))
-    named = classes.select("d1", "d2", "node").join(first, "node", "left").withColumn("label", F.coalesce("label", "node")).join(second, "label", "left")
-    named = cut(named.select("d1", "d2", F.coalesce("root", "label")["id"].alias("found")))
-    result = signed.select("doc_id", "tkey", "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("found")).otherwise(F.col("doc_id")))
-    return result.select("doc_id", "tkey", "n_shingles", component.alias("component_id"), (component.isNull() | (component == F.col("doc_id"))).alias("kept"))
+    labels = _joined(classes.select("node", F.col("node").alias("label")), confirm(cut(best), texts, size, percent))
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+    apart = pairs.join(best, ["a", "b"], "left_anti").join(of("a"), "a").join(of("b"), "b").where("a_label != b_label")
+    labels = _joined(labels, confirm(cut(apart.select("a", "b")), texts, size, percent))
+    rest = cut(_strays(crowd, labels, percent).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
+    if not rest.isEmpty():
+        labels = _joined(labels, confirm(rest, texts_of(rest.select(F.explode(F.array("a", "b")).alias("node")).distinct()), size, percent))
+    named = classes.select("d1", "d2", "node").join(labels, "node").select("d1", "d2", F.col("label.id").alias("component_id"))
+    # rows that link with nothing need no join, so they do not meet in one task
+    columns = ["doc_id", "tkey", "n_shingles", "component_id"]
+    result = signed.where(linkable).join(named, ["d1", "d2"]).select(*columns).union(signed.where(~linkable).select("doc_id", "tkey", "n_shingles", F.col("doc_id").alias("component_id")))
+    return result.select(*columns, (F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id"))).alias("kept"))
 
 
 def keep_one(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
-    """Rows of ``docs`` without those of which a component holds a smaller document; all columns."""
-    gone = classify(docs, size=size, percent=percent).where(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__tkey")).distinct()
-    return docs.join(gone, (docs["doc_id"].cast("long") == F.col("__id")) & (row_key(docs["text"]) == F.col("__tkey")), "left_anti")
+    """Rows of ``docs`` without those of which a component holds a smaller document; all columns, whatever their names."""
+    rows, restored = unclashed(docs)
+    gone = classify(docs, size=size, percent=percent).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("tkey").alias("gone_key")).distinct()
+    text, doc_id = rows["text"], rows["doc_id"]
+    return restored(rows.join(gone, (doc_id.cast("long") == F.col("gone_id")) & (row_key(text) == F.col("gone_key")), "left_anti"))
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

@@ -14,7 +14,8 @@ covers it also starts in a document with a smaller id; windows are judged on the
 3. There the shard's suffix automaton is built, the stretches are streamed past it, and where the
    matching statistic reaches ``length`` the window is a repeat.
 4. A window that its owner lacks (the anchor alone is common) may still repeat between others.
-   Exactly these windows are compared by 128-bit hashes; the smallest document of a hash stays.
+   Exactly these windows are compared by 128-bit hashes (polynomials over two word hashes of
+   different families); the smallest document of a hash, found by an aggregate, stays.
 5. Spans are gathered by document and cut from the whole text.
 
 Defined cases: a null or short text loses nothing; a null id loses nothing and is no reference;
@@ -34,10 +35,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import cut, row_key, shuffle_partitions, word_hashes
+from corpusloom.llm.common import cut, lean, other_word_hashes, row_key, shuffle_partitions, unclashed, word_hashes
 
 LENGTH, GRAM = 50, 16
-#: Documents with an anchor for each copy of its shard, and copies at most; copies are powers of two.
+#: Documents with an anchor for each copy of its shard; beyond SALTS copies both grow with the root of the documents. Copies are powers of two.
 SALT_DOCS, SALTS = 32, 256
 #: Characters of stretches that a task holds before it passes them on.
 FLUSH = 4_000_000
@@ -74,6 +75,12 @@ def window_anchors(h: np.ndarray, length: int) -> np.ndarray:
     return g.view(np.int64)
 
 
+def shard_copies(docs: np.ndarray) -> np.ndarray:
+    """Copies of a shard whose anchor ``docs`` documents have."""
+    wanted = docs / SALT_DOCS
+    return 1 << np.ceil(np.log2(np.maximum(np.where(wanted > SALTS, np.sqrt(wanted * SALTS), wanted), 1))).astype(np.int64)
+
+
 class SuffixAutomaton:
     """Of several word lists; no match runs from one into the next."""
 
@@ -167,7 +174,7 @@ def _stretches(length: int, flush: int = FLUSH):
                 k = np.minimum(np.searchsorted(known, at), len(known) - 1)
                 has = known[k] == at
                 # level 0: two documents only, the owner and one other
-                level = np.where(docs[k] <= 2, 0, np.minimum(SALTS, 1 << np.ceil(np.log2(np.maximum(docs[k] / SALT_DOCS, 1))).astype(np.int64)))
+                level = np.where(docs[k] <= 2, 0, shard_copies(docs[k]))
                 own = owner[k]
                 edge = np.ones(len(at), bool)
                 edge[1:] = (has[1:] != has[:-1]) | (own[1:] != own[:-1]) | (level[1:] != level[:-1])
@@ -228,7 +235,7 @@ def _match(length: int):
                         left = np.setdiff1d(np.arange(len(words) - length + 1), hits)
                         if len(left):
                             h = word_hashes(words)
-                            one, two = gram_hashes(h, length).view(np.int64), gram_hashes(_mix(h ^ np.uint64(_INVERSE)), length).view(np.int64)
+                            one, two = gram_hashes(h, length).view(np.int64), gram_hashes(other_word_hashes(words), length).view(np.int64)
                             rest = [(int(one[w]), int(two[w]), int(w)) for w in left]
                     found = _runs(hits, length), rest
                     if len(known) < 256:
@@ -243,25 +250,6 @@ def _match(length: int):
     return run
 
 
-def _settle(length: int):
-    """Rows come sorted by hash and document. Of the windows with one hash all but the smallest document's are repeats."""
-
-    def run(batches):
-        last, first = None, None
-        for batch in batches:
-            h1, h2, doc, size = (batch.column(i).to_numpy() for i in (0, 1, 2, 5))
-            keep = size > 0
-            for i in np.flatnonzero(~keep):
-                if (h1[i], h2[i]) != last:
-                    last, first = (h1[i], h2[i]), doc[i]
-                keep[i] = doc[i] > first
-            if keep.any():
-                where = np.flatnonzero(keep)
-                yield pa.RecordBatch.from_arrays([batch.column(2).take(pa.array(where)), batch.column(3).take(pa.array(where)), batch.column(4).take(pa.array(where)), pa.array(np.where(size[where] > 0, size[where], length), pa.int32())], ["doc_id", "tkey", "start", "size"])
-
-    return run
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(F.col("text")).alias("tkey"), F.col("text").alias("text"))
 
@@ -270,14 +258,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, tkey, start, size: runs of words to remove; they may overlap."""
     n = shuffle_partitions(docs.sparkSession)
     rows = _keyed(docs).where(F.col("doc_id").isNotNull())
-    anchors = cut(rows.select("doc_id", "text").mapInArrow(_anchors(length), "doc_id long, anchors array<long>"))
+    anchors = cut(rows.select("doc_id", "text").mapInArrow(lean(_anchors(length)), "doc_id long, anchors array<long>"))
     each = anchors.select("doc_id", F.explode("anchors").alias("anchor"))
     shared = cut(each.groupBy("anchor").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.count("*").alias("docs")).where("owner < last").drop("last"))
     listed = each.join(shared, "anchor").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "owner", "docs")).alias("listed"))
-    stretches = rows.join(listed, "doc_id").select("doc_id", "tkey", "text", "listed").mapInArrow(_stretches(length), "owner long, level int, salt int, query int, doc_id long, tkey long, start int, words string")
+    stretches = rows.join(listed, "doc_id").select("doc_id", "tkey", "text", "listed").mapInArrow(lean(_stretches(length)), "owner long, level int, salt int, query int, doc_id long, tkey long, start int, words string")
     shard = ["owner", "level", "salt"]
-    found = stretches.repartition(n, *shard).sortWithinPartitions(*shard, "query", "doc_id", "start").mapInArrow(_match(length), "h1 long, h2 long, doc_id long, tkey long, start int, size int")
-    return found.repartition(n, "h1", "h2").sortWithinPartitions("h1", "h2", "doc_id").mapInArrow(_settle(length), "doc_id long, tkey long, start int, size int")
+    found = cut(stretches.repartition(n, *shard).sortWithinPartitions(*shard, "query", "doc_id", "start").mapInArrow(lean(_match(length)), "h1 long, h2 long, doc_id long, tkey long, start int, size int"))
+    spans = ["doc_id", "tkey", "start", "size"]
+    # windows still to be compared: minima are summed before they are shuffled, and what meets them is a plain join
+    rest = found.where("size = 0")
+    first = rest.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("h1", "h2", "first")
+    repeated = rest.join(first, ["h1", "h2"]).where("doc_id > first").withColumn("size", F.lit(length))
+    return found.where("size > 0").select(*spans).union(repeated.select(*spans))
 
 
 def with_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -315,12 +308,13 @@ def digest_kept(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256."""
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     nameless = _keyed(docs).where(F.col("doc_id").isNull()).withColumn("spans", F.lit(None).cast("array<struct<tkey:bigint,start:int,size:int>>"))
-    return with_spans(docs, length).mapInArrow(_digests, schema).unionByName(nameless.mapInArrow(_digests, schema))
+    return with_spans(docs, length).mapInArrow(lean(_digests), schema).unionByName(nameless.mapInArrow(lean(_digests), schema))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` with repeated passages cut from ``text`` (its other words joined by one space; texts that lose nothing stay as they are)."""
-    spans = repeated_spans(docs, length).groupBy(F.col("doc_id").alias("__id"), F.col("tkey").alias("__tkey")).agg(F.collect_list(F.struct("tkey", "start", "size")).alias("__spans"))
+    """``docs`` with repeated passages cut from ``text`` (its other words joined by one space; texts that lose nothing stay as they are); all columns, whatever their names."""
+    rows, restored = unclashed(docs)
+    spans = repeated_spans(docs, length).groupBy(F.col("doc_id").alias("span_id"), F.col("tkey").alias("span_key")).agg(F.collect_list(F.struct("start", "size")).alias("spans"))
 
     @F.pandas_udf("string")
     def cut_out(text, spans):
@@ -335,9 +329,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             out.append(t if keep.all() else b" ".join(words[k] for k in np.flatnonzero(keep)).decode())
         return pd.Series(out, dtype=object)
 
-    met = docs.join(spans, (docs["doc_id"].cast("long") == F.col("__id")) & (row_key(docs["text"]) == F.col("__tkey")), "left")
-    changed = F.when(F.col("__spans").isNull(), docs["text"]).otherwise(cut_out(docs["text"], F.col("__spans")))
-    return met.select(*[changed.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    met = rows.join(spans, (rows["doc_id"].cast("long") == F.col("span_id")) & (row_key(rows["text"]) == F.col("span_key")), "left")
+    return restored(met, text=F.when(F.col("spans").isNull(), F.col("text")).otherwise(cut_out("text", "spans")))
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -290,8 +291,6 @@ def test_automaton(references, query, least):
 
 
 def test_stretches_leave_in_portions():
-    import pyarrow as pa
-
     words = [f"w{k % 90}" for k in range(300)]
     anchors = np.unique(substring_dedup.window_anchors(substring_dedup.word_hashes([w.encode() for w in words]), 50))
     listed = [{"anchor": int(a), "owner": 1 if k % 2 else 5, "docs": 40 * (k % 3) + 2} for k, a in enumerate(anchors)]
@@ -373,6 +372,57 @@ def test_a_group_over_many_batches_finds_its_original(spark):
     assert met == 1500
 
 
+def crowded_classes(spark):
+    """Distinct near copies around one original, pairs, and unrelated texts."""
+    rng = random.Random(15)
+    base = [f"w{k}" for k in range(120)]
+    rows = [(5000, " ".join(base))]
+    for i in range(400):
+        copy = list(base)
+        for k in rng.sample(range(1, 119, 2), rng.randint(1, 6)):
+            copy[k] = f"x{i}_{k}"
+        rows.append((i, " ".join(copy)))
+    for i in range(600, 800, 2):
+        words = [f"u{rng.randrange(3000)}" for _ in range(90)]
+        rows += [(i, " ".join(words)), (i + 1, " ".join([*words[:85], "other", "end"]))]
+    return spark.createDataFrame([(i, 0, near_dedup.signature(near_dedup.shingles(t, 2)).tobytes()) for i, t in rows], "doc_id long, tkey long, sig binary")
+
+
+def test_candidates_do_not_depend_on_the_layout(spark):
+    classes, found = crowded_classes(spark), []
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n, batch in ((1, 10_000), (8, 10_000), (8, 100), (64, 10_000), (211, 37)):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+            found.append({(r["a"]["id"], r["b"]["id"], r["score"]) for r in near_dedup.candidates(classes, 80).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(found[0]) > 1000 and all(f == found[0] for f in found[1:])
+    assert {(i, i + 1) for i in range(600, 800, 2)} <= {f[:2] for f in found[0]} and {i for i in range(400)} <= {a for a, b, _ in found[0] if b == 5000}
+
+
+def test_what_a_crowd_leaves_apart_is_compared_with_all_of_it(spark):
+    """A crowd of one component without two of its rows: both meet every row that agrees in enough minima, and nothing else is met."""
+    classes = crowded_classes(spark).where("doc_id < 400 OR doc_id = 5000")
+    _, crowd = near_dedup._candidates(classes, 80)
+    label = F.when(F.col("doc_id").isin(7, 9), F.col("doc_id")).otherwise(0).cast("long")
+    labels = classes.select(F.struct(F.col("doc_id").alias("id"), F.col("tkey").alias("key")).alias("node"), F.struct(label.alias("id"), F.col("tkey").alias("key")).alias("label"))
+    got = {(r["a"]["id"], r["b"]["id"]) for r in near_dedup._strays(crowd, labels, 80).collect()}
+    sketch = {r["doc_id"]: near_dedup._sketches(pa.array([bytes(r["sig"])]))[0] for r in classes.collect()}
+    regions = {}
+    for r in crowd.where("depth = 4").collect():
+        regions.setdefault(r["region"], set()).add(r["id"])
+    expected = set()
+    for ids in regions.values():
+        for a in ids & {7, 9}:
+            for b in ids - {a}:
+                if near_dedup._matches(sketch[a][None], sketch[b][None])[0] >= near_dedup.least_matches(80):
+                    expected.add((min(a, b), max(a, b)))
+    assert got == expected and len(got) > 100
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(250)] + [(i, i + 1) for i in range(400, 480)]
