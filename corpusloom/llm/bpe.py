@@ -27,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import lean
 from corpusloom.llm.pretokens import Splitter
 
 #: Pre-tokens in each of a worker's two cache generations, the longest that is kept, and pairs in the compatibility table.
-CACHE, CACHE_CHARS, PAIRS = 150_000, 64, 300_000
+CACHE, CACHE_CHARS, PAIRS = 40_000, 64, 100_000
 
 
 def byte_chars() -> dict[str, int]:
@@ -205,7 +206,7 @@ def _encoded(path: str, digest: bool):
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(_encoded(path or default_path(), False), "doc_id long, n_tokens long, ids array<int>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(lean(_encoded(path or default_path(), False)), "doc_id long, n_tokens long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -222,7 +223,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the decoded text; each text is encoded, decoded and dropped, so no id list leaves the worker."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(_encoded(path or default_path(), True), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(lean(_encoded(path or default_path(), True)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -61,9 +61,9 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def unclashed(docs: DataFrame) -> tuple[DataFrame, Callable[..., DataFrame]]:
-    """The rows with every column but doc_id and text renamed, so that none meets a name of ours; and the way back, with ``text`` replaced if given."""
-    own = [c if c in ("doc_id", "text") else f"c{k}" for k, c in enumerate(docs.columns)]
+def unclashed(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "text")) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """The rows with every column but those in ``keep`` renamed, so that none meets a name of ours; and the way back, with ``text`` replaced if given."""
+    own = [c if c in keep else f"c{k}" for k, c in enumerate(docs.columns)]
     return docs.toDF(*own), lambda df, text=None: df.select(*[(text if c == "text" and text is not None else F.col(c)).alias(name) for c, name in zip(own, docs.columns, strict=True)])
 
 

@@ -24,13 +24,14 @@ of size 0 has target 0.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import cut, unit_interval, word_count
+from corpusloom.llm.common import cut, row_key, unclashed, unit_interval, word_count
 
 #: Hex digits of the id's hash that split equal sizes of one source: 16^2 salts.
 SALT_DIGITS = 2
@@ -59,11 +60,11 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
 
 def _crossed(pos: Column, e: Column, u: Column, most: float) -> Column:
     """Integer boundaries between the prefix sums before and behind a place."""
-    return F.least(F.floor(pos * e + u) - F.floor((pos - 1) * e + u), F.lit(int(most))).cast("long")
+    return F.least(F.floor(pos * e + u) - F.floor((pos - 1) * e + u), F.lit(math.ceil(most))).cast("long")
 
 
 def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: str = "mix", keep: Sequence[str] = ()) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, n_copies, and the columns named in ``keep``."""
+    """One row per document: doc_id, source, size, source_size, target, n_copies, and the (narrow) columns named in ``keep``, which also order rows of one id."""
     key = ["src", "nosrc"]
 
     def sized(*more: str) -> DataFrame:
@@ -71,7 +72,7 @@ def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1
         # nulls join under a flag and an empty name
         return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), salt.alias("salt"), F.coalesce("source", F.lit("")).alias("src"), F.col("source").isNull().alias("nosrc"), *more)
 
-    small = cut(sized())  # a few numbers a document, so that texts are counted once
+    small = cut(sized(*keep))  # a few numbers a document, so that texts are counted once and stay where they are
     cells = small.groupBy(*key, "size", "salt").agg(F.count("*").alias("n"))
     by_size = cells.groupBy(*key, "size").agg(F.sum("n").alias("n"))
     by_size = by_size.select(*key, "size", (F.sum("n").over(W.partitionBy(*key).orderBy(F.col("size").desc())) - F.col("n")).alias("larger"))
@@ -83,7 +84,7 @@ def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1
     )
 
     def placed(rows: DataFrame, facts: DataFrame) -> DataFrame:
-        r = F.row_number().over(W.partitionBy(*key, "size", "salt").orderBy("doc_id"))
+        r = F.row_number().over(W.partitionBy(*key, "size", "salt").orderBy("doc_id", *keep))
         # facts of a source meet its distinct sizes first, so that no join deals many rows by source alone
         starts = inside.join(by_size.join(facts, key), [*key, "size"]).withColumn("start", F.col("larger") + F.col("before")).drop("n", "before", "larger")
         out = rows.withColumn("r", r).join(starts, [*key, "size", "salt"])
@@ -94,17 +95,27 @@ def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1
     sums = placed(small, plan).groupBy(*key).agg(*[F.sum(_crossed(F.col("pos"), F.col("e"), shifted(k), most) * F.col("size")).alias(f"t{k}") for k in range(OFFSETS)])
     best = F.array_min(F.array(*[F.struct(F.abs(F.col(f"t{k}") - F.col("target")).alias("miss"), F.lit(k).alias("k")) for k in range(OFFSETS)]))["k"]
     fixed = plan.join(sums, key).withColumn("u", F.element_at(F.array(*[shifted(k) for k in range(OFFSETS)]), best + 1)).drop(*[f"t{k}" for k in range(OFFSETS)])
-    out = placed(sized(*keep) if keep else small, fixed)
+    out = placed(small, fixed)
     return out.select("doc_id", "source", "size", "source_size", "target", _crossed(F.col("pos"), F.col("e"), F.col("u"), most).alias("n_copies"), *keep)
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: str = "mix") -> DataFrame:
-    """The mixture itself: rows of ``docs``, each as often as it is taken."""
-    rest = [c for c in docs.columns if c not in ("doc_id", "source")]
-    packed = docs.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__rest"))
-    taken = copies(packed, weights, share, most, seed, keep=["__rest"]).where("n_copies > 0")
-    one = F.explode(F.sequence(F.lit(1), F.col("n_copies").cast("int"))).alias("__copy")
-    return taken.select("doc_id", "source", "__rest", one).select(*[F.col(c) if c in ("doc_id", "source") else F.col("__rest")[c].alias(c) for c in docs.columns])
+    """The mixture itself: rows of ``docs``, each as often as it is taken; all columns, whatever their names.
+
+    Copies are numbered on narrow rows; whole rows meet their number once, by id, source and text. Rows that agree in
+    all three share their copies evenly.
+    """
+    rows, restored = unclashed(docs, ("doc_id", "text", "source"))
+    rows = rows.withColumn("tkey", row_key(F.col("text")))
+    taken = copies(rows.select("doc_id", "source", "text", "tkey"), weights, share, most, seed, keep=["tkey"])
+    taken = cut(taken.groupBy(F.col("doc_id").alias("t_id"), F.col("source").alias("t_source"), F.col("tkey").alias("t_key")).agg(F.sum("n_copies").alias("n_copies"), F.count("*").alias("alike")).where("n_copies > 0"))
+    on = F.col("doc_id").eqNullSafe(F.col("t_id")) & F.col("source").eqNullSafe(F.col("t_source")) & (F.col("tkey") == F.col("t_key"))
+    out = rows.join(taken.where("alike = 1"), on).withColumn("times", F.col("n_copies"))
+    repeated = taken.where("alike > 1")
+    if not repeated.isEmpty():
+        place = F.row_number().over(W.partitionBy("t_id", "t_source", "t_key").orderBy("t_id"))
+        out = out.union(rows.join(repeated, on).withColumn("times", F.floor(F.col("n_copies") / F.col("alike")) + (place <= F.col("n_copies") % F.col("alike")).cast("long")))
+    return restored(out.where("times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))))
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

@@ -28,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import WORD_CACHE
+from corpusloom.llm.common import lean, release
 
 WORDS, N_STATS = 256, 24
 N_FEATURES = WORDS + N_STATS
 RANK = 8
 THRESHOLD = 0.7
+#: Standardised features count within these bounds, in fitting as in scoring.
+BOUND = 5.0
 #: Labelled rows that are fitted on at most.
 MAX_ROWS = 6000
 
@@ -41,8 +43,6 @@ _CLASS = np.zeros(256, np.uint8)
 for _k, _chars in enumerate((range(97, 123), range(65, 91), range(48, 58), [32], [10], [9, 11, 12, 13], map(ord, ".,;:?'\"()-"), map(ord, "!#$%&*+/<=>@[\\]^_`{|}~"), range(128, 256)), 1):
     _CLASS[list(_chars)] = _k
 
-_home: dict[bytes, int] = {}
-
 
 def features(text: str) -> np.ndarray:
     """Hashed words (term shares, length 1) and statistics within about -1 and 1."""
@@ -53,10 +53,7 @@ def features(text: str) -> np.ndarray:
     share = np.bincount(_CLASS[np.frombuffer(raw, np.uint8)], minlength=10) / size
     stats = [*share]  # 10
     if n:
-        if len(_home) > WORD_CACHE:
-            _home.clear()
-        home = [_home.get(w) if w in _home else _home.setdefault(w, zlib.crc32(w) % WORDS) for w in words]
-        counts = np.bincount(home, minlength=WORDS).astype(np.float32)
+        counts = np.bincount(np.fromiter(map(zlib.crc32, words), np.uint32, n) % WORDS, minlength=WORDS).astype(np.float32)
         x[:WORDS] = counts / np.sqrt((counts**2).sum())
         distinct = len(set(words))
         same = sum(a == b for a, b in zip(words, words[1:], strict=False))
@@ -79,8 +76,12 @@ class Machine:
     mean: np.ndarray
     scale: np.ndarray
 
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        """What the machine is fitted on and scores: standardised features within the bound."""
+        return np.clip((x - self.mean) * self.scale, -BOUND, BOUND)
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        z = (x - self.mean) * self.scale
+        z = self.standard(x)
         pairs = 0.5 * ((z @ self.factors) ** 2 - (z**2) @ (self.factors**2)).sum(axis=1)
         return 1 / (1 + np.exp(-np.clip(self.bias + z @ self.linear + pairs, -30, 30)))
 
@@ -100,7 +101,7 @@ def fit_machine(x: np.ndarray, y: np.ndarray, *, rank: int = RANK, steps: int =
     m = {k: np.zeros_like(a) for k, a in p.items()}
     s = {k: np.zeros_like(a) for k, a in p.items()}
     weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share))
-    z_all = np.clip((x - mean) * scale, -5, 5)
+    z_all = Machine(0.0, p["w"], p["v"], mean, scale).standard(x)
     for t in range(1, steps + 1):
         at = rng.integers(0, len(y), batch)
         z, t_y = z_all[at], y[at]
@@ -130,8 +131,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_rows:
             xs = [features(t.as_py() or "").tobytes() for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(xs, pa.binary())], ["doc_id", "y", "x"])
 
-    # rows that share an id could exceed the bound, so it holds again here
-    got = chosen.select("doc_id", "y", "text").mapInArrow(run, "doc_id long, y int, x binary").limit(max_rows).collect()
+    # rows that share an id could exceed the bound, so it holds again here, in an order that reruns repeat
+    got = chosen.select("doc_id", "y", "text").mapInArrow(lean(run), "doc_id long, y int, x binary").orderBy("doc_id", "y", "x").limit(max_rows).collect()
     got.sort(key=lambda r: (r["doc_id"], r["y"], bytes(r["x"])))
     x = np.frombuffer(b"".join(bytes(r["x"]) for r in got), np.float32).reshape(-1, N_FEATURES).astype(np.float64)
     return fit_machine(x, np.array([float(r["y"] > 0) for r in got]))
@@ -149,16 +150,18 @@ def score(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> Da
             s = np.concatenate(out) if out else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").alias("text")).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").alias("text")).mapInArrow(lean(run), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose score reaches the threshold, with all their columns."""
 
     @F.pandas_udf("double")
-    def scored(text: pd.Series) -> pd.Series:
-        parts = [machine.score(np.stack([features(t or "") for t in text[a : a + 1024]]).astype(np.float64)) for a in range(0, len(text), 1024)]
-        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for text in batches:
+            parts = [machine.score(np.stack([features(t or "") for t in text[a : a + 1024]]).astype(np.float64)) for a in range(0, len(text), 1024)]
+            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+        release()
 
     return docs.where(scored("text") >= threshold)
 

@@ -20,21 +20,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import text_crc32
+from corpusloom.llm.common import cut, text_crc32
 
 #: Hex digits of the key's hash that make a bucket for numbering slots: 16^3 buckets.
 BUCKET_DIGITS = 3
 
 
+def _ranked(key: Column, s: int) -> Column:
+    """A shard's hash for a key, its number behind it."""
+    return F.concat(F.substring(F.md5(F.concat(F.coalesce(key, F.lit("")), F.lit(f":{s}"))), 1, 13), F.lit(f"{s:06d}"))
+
+
 def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     """Index of the winning shard. Equal weights compare raw hashes; others compare -ln(u) / w."""
     key = F.coalesce(key, F.lit(""))
-    hashed = [F.substring(F.md5(F.concat(key, F.lit(f":{s}"))), 1, 13) for s in range(len(weights))]
     if len(weights) == 1:
         return F.lit(0)
     if len(set(weights)) == 1:
-        return F.substring(F.greatest(*[F.concat(h, F.lit(f"{s:06d}")) for s, h in enumerate(hashed)]), 14, 6).cast("int")
-    unit = [(F.conv(h, 16, 10).cast("double") + 0.5) / float(16**13) for h in hashed]
+        return F.substring(F.greatest(*[_ranked(key, s) for s in range(len(weights))]), 14, 6).cast("int")
+    unit = [(F.conv(F.substring(_ranked(key, s), 1, 13), 16, 10).cast("double") + 0.5) / float(16**13) for s in range(len(weights))]
     return F.array_min(F.array(*[F.struct((-F.log(u) / float(w)).alias("score"), F.lit(s).alias("shard")) for s, (u, w) in enumerate(zip(unit, weights, strict=True))]))["shard"]
 
 
@@ -46,16 +50,17 @@ def shard(docs: DataFrame, weights: Sequence[float] = (1.0,) * 24, *, grown: Seq
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + overhead).alias("size"),
         text_crc32(F.col("text")).alias("text_crc32"),
-        rendezvous(key, weights).alias("shard"),
-        rendezvous(key, grown).alias("grown_shard"),
         F.substring(F.md5(key), 1, BUCKET_DIGITS).alias("bucket"),
     )
-    before = (
-        docs.select(F.col(id_col).alias("doc_id"))
-        .groupBy(rendezvous(key, weights).alias("shard"), F.substring(F.md5(key), 1, BUCKET_DIGITS).alias("bucket"))
-        .agg(F.count("*").alias("n"))
-        .select("shard", "bucket", (F.sum("n").over(W.partitionBy("shard").orderBy("bucket")) - F.col("n")).alias("before"))
-    )
+    if len(weights) > 1 and len({*weights, *grown}) == 1 and len(grown) == len(weights) + 1:
+        # one hash a shard: the winner of all but the new one, then the winner against the new one
+        rows = rows.withColumn("top", F.greatest(*[_ranked(key, s) for s in range(len(weights))]))
+        rows = rows.withColumn("shard", F.substring("top", 14, 6).cast("int")).withColumn("grown_shard", F.when(_ranked(key, len(weights)) > F.col("top"), F.lit(len(weights))).otherwise(F.col("shard"))).drop("top")
+    else:
+        rows = rows.withColumn("shard", rendezvous(key, weights)).withColumn("grown_shard", rendezvous(key, grown))
+    rows = cut(rows)  # a few numbers a row, so that texts are read and keys are hashed once
+    counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
+    before = counts.select("shard", "bucket", (F.sum("n").over(W.partitionBy("shard").orderBy("bucket")) - F.col("n")).alias("before"))
     inside = W.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size")
     return (
         rows.withColumn("r", F.row_number().over(inside))
