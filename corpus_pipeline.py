@@ -1,7 +1,14 @@
 """A corpus run over ``documents``: judge quality, drop near copies, cut repeated passages, mix, encode.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
-again as the next stage's docs. All stages but the last return the columns of ``documents``.
+again as the next stage's docs. All stages but the last return the columns of ``documents``, extra ones
+included, whatever their names.
+
+Defined cases: a null or empty text is scored as the classifier scores it (kept if the score reaches the
+threshold), is a near copy of nothing, loses nothing, has size 0 and so adds no words to the mixture (it is
+taken as often as its place says), and has no ids. A null id is never held out, labelled, linked or cut.
+Repeated rows (same id and text) stand or fall together until mixing, which shares their copies evenly.
+An empty table gives an empty result. Spent stage folders are deleted, the last stage's input is not.
 """
 
 from __future__ import annotations
@@ -13,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import bpe, mixing, near_dedup, quality, substring_dedup
-from corpusloom.llm.common import ensure_checkpoint_dir
+from corpusloom.llm.common import ensure_checkpoint_dir, lean, remove
 from corpusloom.shipping import ship
 
 
@@ -54,7 +61,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             intact = [c.decode(i) == (t.as_py() or "") for i, t in zip(ids, batch.column(1), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(i) for i in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(intact, pa.bool_())], ["doc_id", "n_tokens", "ids", "intact"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, intact boolean")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), "doc_id long, n_tokens long, ids array<int>, intact boolean")
 
 
 STAGES = [("quality classifier", good), ("MinHash near-dedup", distinct), ("substring dedup", unrepeated), ("mixing sources", mixed), ("BPE encoding", encoded)]
@@ -73,3 +80,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return out
         out.write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:  # what this stage has read is spent; the last one's input stays, as its result is not computed yet
+            remove(spark, f"{folder}/{k - 1}")
