@@ -16,10 +16,7 @@
 4. A candidate must agree in enough minima for the similarity asked for; it is confirmed on full
    shingle sets made from whole texts. First each class's most similar partner; then, between
    components that are still apart, all others.
-5. The rest of crowded regions: classes that the steps above leave outside the largest component of
-   a region of DEPTH minima are compared with the whole region, sketch by sketch, in blocks, and
-   confirmed as above. Their number is small where a crowd is one group; nothing is capped.
-6. Components: every node takes its least neighbour as label, edges are renamed, until none is left.
+5. Components: nodes take a neighbour as label and edges are renamed, until few enough for one task.
 
 Defined cases: a null or blank text has an empty set and is linked with nothing; a text of fewer
 words than a shingle is one shingle; a null id is linked with nothing, has no component and is
@@ -45,8 +42,8 @@ LEVELS = DEPTH + N_HASH // 2
 REGION, NEAREST = 8, 3
 #: Rows on each side that decide what a row meets; rows of a border that a second pass needs; minima that make a region with a hub.
 CONTEXT, HALO, CROWDED = 8, 24, (2, 3, 4)
-#: Rows of small tables (regions, hubs, borders) up to which they are broadcast; pairs of one class for each copy of its text; rows of a block.
-FEW, COPY_PAIRS, BLOCK = 50_000, 64, 512
+#: Rows of small tables (regions, hubs, labels) up to which they are broadcast; edges up to which one task unites them; pairs of one class for each copy of its text.
+FEW, FEW_EDGES, COPY_PAIRS = 50_000, 100_000, 64
 
 _rng = np.random.default_rng(20240229)
 _MUL = _rng.integers(0, 2**63, N_HASH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -328,12 +325,12 @@ def _binary(rows: np.ndarray) -> pa.Array:
 
 
 def _towards(batches):
-    """region, depth, id, key, sig, middle: how near each row is to its region's majority, and its sketch."""
+    """region, id, key, sig, middle: how near each row is to its region's majority, and its sketch."""
     for batch in batches:
         if batch.num_rows:
-            sketch = _sketches(batch.column(4))
-            score = _matches(sketch, _bytes(batch.column(5)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), _binary(sketch), pa.array(score)], ["region", "depth", "id", "key", "sketch", "score"])
+            sketch = _sketches(batch.column(3))
+            score = _matches(sketch, _bytes(batch.column(4)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), _binary(sketch), pa.array(score)], ["region", "id", "key", "sketch", "score"])
 
 
 def _to_hubs(least: int):
@@ -392,51 +389,21 @@ def _sorted_pairs(classes: DataFrame, least: int) -> tuple[DataFrame, DataFrame]
 
 
 def _crowd(classes: DataFrame, regions: DataFrame) -> DataFrame:
-    """region, depth, id, key, sketch, score: the rows of crowded regions, and how near they are to the majority."""
-    places = F.array(*[F.struct(F.xxhash64(F.lit(t), F.substring("sig", 4 * DEPTH * t + 1, 4 * d)).alias("region"), F.lit(d).alias("depth")) for t in range(TREES) for d in CROWDED])
-    rows = classes.select("doc_id", "tkey", "sig", F.explode(places).alias("p")).select(F.col("p.region").alias("region"), F.col("p.depth").alias("depth"), "doc_id", "tkey", "sig")
-    return cut(rows.join(_small(regions), "region").select("region", "depth", "doc_id", "tkey", "sig", "middle").mapInArrow(lean(_towards), "region long, depth int, id long, key long, sketch binary, score long"))
+    """region, id, key, sketch, score: the rows of crowded regions, and how near they are to the majority."""
+    places = F.array(*[F.xxhash64(F.lit(t), F.substring("sig", 4 * DEPTH * t + 1, 4 * d)) for t in range(TREES) for d in CROWDED])
+    rows = classes.select("doc_id", "tkey", "sig", F.explode(places).alias("region"))
+    return cut(rows.join(_small(regions), "region").select("region", "doc_id", "tkey", "sig", "middle").mapInArrow(lean(_towards), "region long, id long, key long, sketch binary, score long"))
 
 
 def candidates(classes: DataFrame, percent: int) -> DataFrame:
     """a, b, score: pairs of classes (doc_id, tkey, sig), each once."""
-    return _candidates(classes, percent)[0]
-
-
-def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """The candidates, and the rows of crowded regions."""
     least = least_matches(percent)
     found, regions = _sorted_pairs(classes, least)
     crowd = _crowd(classes, regions)
     hubs = cut(crowd.groupBy("region").agg(F.max(F.struct("score", "id", "key", "sketch")).alias("m")).select("region", "m.id", "m.key", "m.sketch"))
     hubs = hubs.select("region", F.col("id").alias("h_id"), F.col("key").alias("h_key"), F.col("sketch").alias("h_sketch"))
     met = crowd.join(_small(hubs), "region").select("id", "key", "sketch", "h_id", "h_key", "h_sketch").mapInArrow(lean(_to_hubs(least)), _PAIRS)
-    return found.union(met).groupBy(_node("a").alias("a"), _node("b").alias("b")).agg(F.max("score").alias("score")), crowd
-
-
-def _strays(crowd: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """a, b: what stands outside the largest component of a crowded region, with all of the region that stands in another one and agrees in enough minima."""
-    node = F.struct("id", "key")
-    named = crowd.where(F.col("depth") == DEPTH).join(labels.select(F.col("node.id").alias("id"), F.col("node.key").alias("key"), "label"), ["id", "key"])
-    named = cut(named.select("region", node.alias("node"), "label", "sketch"))
-    own = named.groupBy("region", "label").agg(F.count("*").alias("n"))
-    top = own.groupBy("region").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("labels")).where("labels > 1")
-    top = cut(top.select("region", F.col("top.label").alias("top"), F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")))
-    if top.isEmpty():
-        return named.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    rows = named.join(_small(top), "region")
-    words = [F.conv(F.hex(F.substring("sketch", 8 * k + 1, 8)), 16, -10).cast("long").alias(f"w{k}") for k in range(4)]
-    apart = rows.where("label != top").select("region", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("node").alias("a"), F.col("label").alias("a_label"), *words)
-    whole = rows.select("region", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.col("node").alias("b"), F.col("label").alias("b_label"), *[w.alias(f"v{k}") for k, w in enumerate(words)])
-    ones = F.lit(0x1111111111111111).cast("long")
-
-    def agree(k: int):
-        x = F.col(f"w{k}").bitwiseXOR(F.col(f"v{k}"))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        return 16 - F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(ones))
-
-    met = apart.join(whole, ["region", "block"]).where((F.col("a_label") != F.col("b_label")) & (agree(0) + agree(1) + agree(2) + agree(3) >= least_matches(percent)))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return found.union(met).groupBy(_node("a").alias("a"), _node("b").alias("b")).agg(F.max("score").alias("score"))
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -466,35 +433,61 @@ def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
     return met.select(F.least(_node("a"), _node("b")).alias("a"), F.greatest(_node("a"), _node("b")).alias("b"))
 
 
+def _united(batches):
+    """All edges a, b: every node with the first node of its component."""
+    above: dict[tuple, tuple] = {}
+
+    def top(x):
+        while (y := above.setdefault(x, x)) != x:
+            above[x] = above[y]
+            x = above[x]
+        return x
+
+    for batch in batches:
+        nodes = [batch.column(i).to_numpy().tolist() for i in range(6)]
+        for a, b in zip(zip(*nodes[:3], strict=True), zip(*nodes[3:], strict=True), strict=True):
+            a, b = top(a), top(b)
+            if a != b:
+                above[max(a, b)] = min(a, b)
+    if above:
+        rows = [(*x, *top(x)) for x in list(above)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["h", "id", "key", "l_h", "l_id", "l_key"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, label: the smallest node that each linked node reaches; smallest ones are left out.
 
-    Every node takes as label the first of its neighbours and itself by a hash (so that no order of ids makes long
-    chains); edges are renamed, and those inside a label go. Minima are summed up before they are shuffled, and the
-    joins are plain ones, whose large keys Spark splits; no node's edges have to be in one task.
+    While there are many edges, every node takes as label the first of its neighbours and itself by a hash (so that no
+    order of ids makes long chains), edges are renamed, and those inside a label go. Minima are summed up before they
+    are shuffled, and the joins are plain ones, whose large keys Spark splits; no node's edges have to be in one task.
+    At most FEW_EDGES edges, a bounded table, are left to a union-find in one task.
     """
     by_hash = lambda c: F.struct(F.xxhash64(f"{c}.id", f"{c}.key").alias("h"), F.col(f"{c}.id").alias("id"), F.col(f"{c}.key").alias("key")).alias(c)
     edges = cut(links.where("a != b").select(by_hash("a"), by_hash("b")))
     found = None
-    while not edges.isEmpty():
+    while edges.limit(FEW_EDGES + 1).count() > FEW_EDGES:
         ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct(F.col("b").alias("node"), F.col("a").alias("other")))).alias("e"))
         least = cut(ends.groupBy(F.col("e.node").alias("node")).agg(F.min("e.other").alias("m")).select("node", F.least("node", "m").alias("label")))
-        found = least if found is None else found.join(least.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+        found = least if found is None else _renamed(found, least)
         of = lambda c: least.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))  # noqa: B023, E731
-        renamed = edges.join(of("a"), "a").join(of("b"), "b").where("a_label != b_label")
-        edges = cut(renamed.select(F.least("a_label", "b_label").alias("a"), F.greatest("a_label", "b_label").alias("b")).distinct())
-    if found is None:
-        return links.select(F.col("a").alias("node"), F.col("b").alias("label")).limit(0)
+        between = edges.join(of("a"), "a").join(of("b"), "b").where("a_label != b_label")
+        edges = cut(between.select(F.least("a_label", "b_label").alias("a"), F.greatest("a_label", "b_label").alias("b")).distinct())
+    rest = edges.select("a.h", "a.id", "a.key", F.col("b.h").alias("b_h"), F.col("b.id").alias("b_id"), F.col("b.key").alias("b_key")).repartition(1).mapInArrow(_united, "h long, id long, key long, l_h long, l_id long, l_key long")
+    rest = rest.select(F.struct("h", "id", "key").alias("node"), F.struct(F.col("l_h").alias("h"), F.col("l_id").alias("id"), F.col("l_key").alias("key")).alias("label"))
+    found = cut(rest if found is None else _renamed(found, _small(cut(rest))))
     found = found.select(F.struct("node.id", "node.key").alias("node"), F.col("label").alias("root"))
-    return found.join(found.groupBy("root").agg(F.min("node").alias("label")), "root").select("node", "label").where("node != label")
+    return found.join(_small(cut(found.groupBy("root").agg(F.min("node").alias("label")))), "root").select("node", "label").where("node != label")
+
+
+def _renamed(found: DataFrame, labels: DataFrame) -> DataFrame:
+    return found.join(labels.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left").select("node", F.coalesce("root", "label").alias("label"))
 
 
-def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """node, label after the links between labelled nodes, too."""
-    of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
-    between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).distinct()
-    roots = components(between).select(F.col("node").alias("label"), F.col("label").alias("root"))
-    return cut(labels.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label")))
+def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs a, b with a_label, b_label; a node without a label is its own."""
+    for c in ("a", "b"):
+        pairs = pairs.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label")), c, "left").withColumn(f"{c}_label", F.coalesce(f"{c}_label", c))
+    return pairs
 
 
 def classify(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
@@ -504,26 +497,22 @@ def classify(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     node = F.struct(F.col("doc_id").alias("id"), F.col("tkey").alias("key"))
     linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     classes = cut(signed.where(linkable).groupBy("d1", "d2").agg(F.min(node).alias("node"), F.first("sig").alias("sig")))
-    found, crowd = _candidates(classes.select(F.col("node.id").alias("doc_id"), F.col("node.key").alias("tkey"), "sig"), percent)
-    pairs = cut(found)
-
-    def texts_of(nodes: DataFrame) -> DataFrame:
-        return cut(rows.where(F.col("doc_id").isNotNull()).select(node.alias("node"), "text").join(nodes, "node", "left_semi").dropDuplicates(["node"]))
-
-    texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    pairs = cut(candidates(classes.select(F.col("node.id").alias("doc_id"), F.col("node.key").alias("tkey"), "sig"), percent))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = cut(rows.where(F.col("doc_id").isNotNull()).select(node.alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node"]))
     ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p"), "score")
     best = ends.groupBy("p.x").agg(F.max(F.struct("score", F.col("p.y"))).alias("m")).select(F.least("x", "m.y").alias("a"), F.greatest("x", "m.y").alias("b")).distinct()
-    labels = _joined(classes.select("node", F.col("node").alias("label")), confirm(cut(best), texts, size, percent))
-    of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
-    apart = pairs.join(best, ["a", "b"], "left_anti").join(of("a"), "a").join(of("b"), "b").where("a_label != b_label")
-    labels = _joined(labels, confirm(cut(apart.select("a", "b")), texts, size, percent))
-    rest = cut(_strays(crowd, labels, percent).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        labels = _joined(labels, confirm(rest, texts_of(rest.select(F.explode(F.array("a", "b")).alias("node")).distinct()), size, percent))
-    named = classes.select("d1", "d2", "node").join(labels, "node").select("d1", "d2", F.col("label.id").alias("component_id"))
+    best = cut(best)
+    first = _small(cut(components(confirm(best, texts, size, percent))))
+    apart = _labelled(pairs.join(best, ["a", "b"], "left_anti"), first).where("a_label != b_label")
+    more = confirm(cut(apart.select("a", "b")), texts, size, percent)
+    between = _labelled(more, first).select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).distinct()
+    second = _small(cut(components(between)))
+    named = classes.select("d1", "d2", "node").join(first, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = named.join(second.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left").select("d1", "d2", F.coalesce("root", "label")["id"].alias("component_id"))
     # rows that link with nothing need no join, so they do not meet in one task
     columns = ["doc_id", "tkey", "n_shingles", "component_id"]
-    result = signed.where(linkable).join(named, ["d1", "d2"]).select(*columns).union(signed.where(~linkable).select("doc_id", "tkey", "n_shingles", F.col("doc_id").alias("component_id")))
+    result = signed.where(linkable).join(cut(named), ["d1", "d2"]).select(*columns).union(signed.where(~linkable).select("doc_id", "tkey", "n_shingles", F.col("doc_id").alias("component_id")))
     return result.select(*columns, (F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id"))).alias("kept"))
 
 

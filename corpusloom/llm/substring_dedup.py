@@ -268,7 +268,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = ["doc_id", "tkey", "start", "size"]
     # windows still to be compared: minima are summed before they are shuffled, and what meets them is a plain join
     rest = found.where("size = 0")
-    first = rest.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("h1", "h2", "first")
+    first = cut(rest.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("h1", "h2", "first"))
     repeated = rest.join(first, ["h1", "h2"]).where("doc_id > first").withColumn("size", F.lit(length))
     return found.where("size > 0").select(*spans).union(repeated.select(*spans))
 

@@ -403,27 +403,9 @@ def test_candidates_do_not_depend_on_the_layout(spark):
     assert {(i, i + 1) for i in range(600, 800, 2)} <= {f[:2] for f in found[0]} and {i for i in range(400)} <= {a for a, b, _ in found[0] if b == 5000}
 
 
-def test_what_a_crowd_leaves_apart_is_compared_with_all_of_it(spark):
-    """A crowd of one component without two of its rows: both meet every row that agrees in enough minima, and nothing else is met."""
-    classes = crowded_classes(spark).where("doc_id < 400 OR doc_id = 5000")
-    _, crowd = near_dedup._candidates(classes, 80)
-    label = F.when(F.col("doc_id").isin(7, 9), F.col("doc_id")).otherwise(0).cast("long")
-    labels = classes.select(F.struct(F.col("doc_id").alias("id"), F.col("tkey").alias("key")).alias("node"), F.struct(label.alias("id"), F.col("tkey").alias("key")).alias("label"))
-    got = {(r["a"]["id"], r["b"]["id"]) for r in near_dedup._strays(crowd, labels, 80).collect()}
-    sketch = {r["doc_id"]: near_dedup._sketches(pa.array([bytes(r["sig"])]))[0] for r in classes.collect()}
-    regions = {}
-    for r in crowd.where("depth = 4").collect():
-        regions.setdefault(r["region"], set()).add(r["id"])
-    expected = set()
-    for ids in regions.values():
-        for a in ids & {7, 9}:
-            for b in ids - {a}:
-                if near_dedup._matches(sketch[a][None], sketch[b][None])[0] >= near_dedup.least_matches(80):
-                    expected.add((min(a, b), max(a, b)))
-    assert got == expected and len(got) > 100
-
-
-def test_components(spark):
+@pytest.mark.parametrize("few", [100_000, 20, 0])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(near_dedup, "FEW_EDGES", few)
     rng = random.Random(6)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(250)] + [(i, i + 1) for i in range(400, 480)]
     root = {}
