@@ -60,7 +60,7 @@ def synthesize(spark: SparkSession, cfg: Config, speech=None) -> int:
         raise RuntimeError("no prompts; run that stage first")
     todo = assign.audio_records(assign.round_robin(prompts, config.voice_table(spark, cfg.speech.voices)), cfg.speech.output_sample_rate)
     todo = manifest.synthesis_pending(todo, read(spark, cfg, "audio_manifest")).repartition(cfg.speech.concurrency)
-    made = providers.synthesize(todo, cfg.root, cfg.paths.get("audio_dir", config.DEFAULT_PATHS["audio_dir"]), speech).cache()
+    made = providers.synthesize(todo, cfg.root, cfg.paths.get("audio_dir", config.DEFAULT_PATHS["audio_dir"]), speech, cfg.speech.timeout, cfg.speech.first_wait).cache()
     n = made.count()
     if n:
         jsonl.append_numbered(made, cfg.path("audio_manifest"), AUDIO, "seq")

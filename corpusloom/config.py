@@ -59,6 +59,7 @@ class Speech:
     output_sample_rate: int = 16000
     concurrency: int = 8
     timeout: float = 30.0
+    first_wait: float = 2.0
     voices: tuple[Voice, ...] = VOICES
 
 

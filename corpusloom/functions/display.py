@@ -75,8 +75,3 @@ def prompts_from_json(text: Column, key: str = "prompts", other: str = OTHER_KEY
     first, second = (F.from_json(F.get_json_object(text, f"$.{k}"), "array<string>", {"mode": "PERMISSIVE"}) for k in (key, other))
     found = F.when(F.coalesce(F.size(first), F.lit(0)) > 0, first).otherwise(second)
     return F.coalesce(F.filter(found, lambda x: x.isNotNull() & ~F.coalesce(x.rlike(r"^\s*[\[{]"), F.lit(False))), F.array().cast("array<string>"))
-
-
-def to_json_line(row: Column) -> Column:
-    """Nulls stay in the line; text stays unescaped."""
-    return F.to_json(row, {"ignoreNullFields": "false"})

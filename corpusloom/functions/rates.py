@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def cer(reference: Column, hypothesis: Column) -> Column:
@@ -11,19 +13,30 @@ def cer(reference: Column, hypothesis: Column) -> Column:
     return F.when((reference != "") & (hypothesis != ""), F.levenshtein(reference, hypothesis) / F.length(reference))
 
 
-def _as_characters(words: Column, vocabulary: Column) -> Column:
-    """One character a word: its place in the vocabulary as a code point, surrogates skipped."""
-    def one(w: Column) -> Column:
-        at = F.array_position(vocabulary, w)
-        return F.decode(F.unhex(F.lpad(F.hex(F.when(at < 0xD800, at).otherwise(at + 0x800)), 8, "0")), "UTF-32")
-
-    return F.array_join(F.transform(words, one), "")
+@F.pandas_udf(T.StructType([T.StructField("reference", T.StringType()), T.StructField("hypothesis", T.StringType())]))
+def _as_characters(reference: pd.Series, hypothesis: pd.Series) -> pd.DataFrame:
+    """Each pair of word lists as two strings of one character a word, the same for equal words; surrogates are skipped. One look-up a word, so long texts cost in proportion."""
+    out = []
+    for pair in zip(reference, hypothesis, strict=True):
+        place: dict[str, str] = {}
+        texts = []
+        for words in pair:
+            coded = []
+            for w in words if words is not None else ():
+                c = place.get(w)
+                if c is None:
+                    at = len(place) + 1
+                    c = place[w] = chr(at if at < 0xD800 else at + 0x800)
+                coded.append(c)
+            texts.append("".join(coded))
+        out.append(texts)
+    return pd.DataFrame(out, columns=["reference", "hypothesis"], dtype=object)
 
 
 def word_distance(reference: Column, hypothesis: Column) -> Column:
     """Levenshtein distance of two word arrays."""
-    vocabulary = F.array_distinct(F.concat(reference, hypothesis))
-    return F.levenshtein(_as_characters(reference, vocabulary), _as_characters(hypothesis, vocabulary))
+    both = _as_characters(reference, hypothesis)
+    return F.levenshtein(both["reference"], both["hypothesis"])
 
 
 def wer(reference: Column, hypothesis: Column) -> Column:

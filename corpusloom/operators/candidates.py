@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
+from corpusloom.shared import kept
 
 
 def prepared(candidates: DataFrame, assume_nfc: bool = False) -> DataFrame:
@@ -27,23 +28,27 @@ def first_reason(low: int, high: int, script: str = T.SCRIPT, least: float = 0.3
     )
 
 
-def validated(candidates: DataFrame, existing: DataFrame | None = None, *, low: int = 3, high: int = 25, script: str = T.SCRIPT, least: float = 0.3, seq: str = "seq", assume_nfc: bool = False) -> DataFrame:
-    """Prepared candidates with ``reason``. Duplicates come last: of what passes the other rules, all but the first of a hash, or any whose hash exists.
+def judged(candidates: DataFrame, existing: DataFrame | None = None, *, low: int = 3, high: int = 25, script: str = T.SCRIPT, least: float = 0.3, seq: str = "seq", assume_nfc: bool = False) -> DataFrame:
+    """seq, word_count, hash, reason. Duplicates come last: of what passes the other rules, all but the first of a hash, or any whose hash exists.
 
-    The first of a hash is found by an aggregate (pre-aggregated, so a common hash is no hot spot).
+    Texts are read and normalised once; what goes on is a few values a candidate. The first of a hash that
+    several have is found by an aggregate with partial sums; no text is dealt by its hash.
     """
     rows = prepared(candidates, assume_nfc).withColumn("reason", first_reason(low, high, script, least))
-    # no filter here and null-safe keys below: a filter, or the null test that a plain join adds, is
-    # pushed down and computes the whole chain of expressions again
-    first = rows.groupBy(F.col("hash").alias("__hash")).agg(F.min(F.when(F.col("reason") == "", F.col(seq))).alias("__first"))
-    rows = rows.join(first, rows["hash"].eqNullSafe(F.col("__hash")), "left").drop("__hash")
-    late = F.col(seq) > F.col("__first")
+    rows = kept(rows.select(F.col(seq).alias("seq"), "word_count", "hash", "reason"))
+    first = rows.where("reason = ''").groupBy("hash").agg(F.min("seq").alias("first"), F.count("*").alias("n")).where("n > 1").select("hash", "first")
+    rows = rows.join(first, "hash", "left")
+    late = F.col("seq") > F.coalesce("first", "seq")
     if existing is not None:
-        known = existing.select(F.col("hash").alias("__known")).distinct()
-        rows = rows.join(known, rows["hash"] == F.col("__known"), "left")
-        late = late | F.col("__known").isNotNull()
-    rows = rows.withColumn("reason", F.when((F.col("reason") == "") & late, "duplicate").otherwise(F.col("reason")))
-    return rows.drop("__first", "__known")
+        rows = rows.join(existing.select("hash", F.lit(True).alias("known")).distinct(), "hash", "left")
+        late = late | F.col("known").isNotNull()
+    return rows.select(F.col("seq").alias(seq), "word_count", "hash", F.when((F.col("reason") == "") & late, "duplicate").otherwise(F.col("reason")).alias("reason"))
+
+
+def validated(candidates: DataFrame, existing: DataFrame | None = None, **rules) -> DataFrame:
+    """The candidates with cleaned, word_count, hash and reason; rules as in ``judged``."""
+    seq = rules.get("seq", "seq")
+    return candidates.withColumn("cleaned", T.clean(F.col("text"))).join(judged(candidates, existing, **rules), seq)
 
 
 def reason_counts(rows: DataFrame) -> DataFrame:
@@ -62,6 +67,11 @@ def deficits(plan: DataFrame, existing: DataFrame) -> DataFrame:
     return missing.where("deficit > 0")
 
 
+def total_deficit(missing: DataFrame) -> DataFrame:
+    """total: prompts still missing over all categories, 0 if none."""
+    return missing.agg(F.coalesce(F.sum("deficit"), F.lit(0)).cast("long").alias("total"))
+
+
 def next_category(missing: DataFrame, per_request: int = 15) -> DataFrame:
     """category, deficit, batch_n of the largest deficit; ties by a fixed hash."""
     batch = F.least(F.lit(per_request), F.col("deficit") + 5).alias("batch_n")

@@ -22,6 +22,11 @@ def leaked_paths(df: DataFrame, id_col: str = "id", prefixes: tuple[str, ...] =
     return df.select(F.col(id_col).alias("id"), F.explode(pairs).alias("p")).where(bad).select("id", "p.field", "p.value")
 
 
+def first_leaks(df: DataFrame, n: int = 3, id_col: str = "id", prefixes: tuple[str, ...] = LEAKS) -> DataFrame:
+    """The first ``n`` of them, by id and field, for a message."""
+    return leaked_paths(df, id_col, prefixes).orderBy("id", "field").limit(n)
+
+
 def path_report(df: DataFrame, path_col: str, prefix: str = "audio/") -> DataFrame:
     """n, n_absolute, n_outside, n_null of a path column."""
     p = F.col(path_col)
@@ -33,6 +38,11 @@ def missing_files(df: DataFrame, files: DataFrame, path_col: str = "audio_path")
     return df.join(files.select(F.col("path").alias(path_col)), path_col, "left_anti")
 
 
+def schema_rows(df: DataFrame) -> DataFrame:
+    """name, type of every column."""
+    return df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema.fields], "name string, type string")
+
+
 def schema_differences(df: DataFrame, expected: T.StructType) -> list[str]:
     have, want = {f.name: f.dataType.simpleString() for f in df.schema.fields}, {f.name: f.dataType.simpleString() for f in expected.fields}
     return [f"{n}: {have.get(n, 'missing')} for {want.get(n, 'nothing')}" for n in sorted({*have, *want}) if have.get(n) != want.get(n)]

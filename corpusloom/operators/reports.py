@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions.quantiles import order_statistics
@@ -42,6 +43,12 @@ def by_category(rows: DataFrame) -> DataFrame:
     return rows.groupBy("category").agg(F.count("*").alias("n"), F.avg("cer").alias("mean_cer"), *_shares())
 
 
+def ranked(report: DataFrame, key: str, mean: str = "mean_cer", size: str = "n") -> DataFrame:
+    """A report with a row for each key, and the row's place by key, by size and by mean (largest first, nulls last, ties by key). The windows hold the report's rows."""
+    place = lambda *order: F.row_number().over(W.orderBy(*order))
+    return report.withColumns({"by_key": place(key), "by_size": place(F.col(size).desc(), key), "by_mean": place(F.col(mean).desc_nulls_last(), key)})
+
+
 def versus(rows: DataFrame, category: str) -> DataFrame:
     """One pass: counts and means within the category and outside it, and their ratio."""
     own = F.col("category").eqNullSafe(category)

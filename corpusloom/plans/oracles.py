@@ -85,7 +85,71 @@ d AS (SELECT *, list_reduce(
       list_prepend([prev[1] + 1], list_transform(range(1, len(r) + 1), lambda j: [least(prev[j + 1] + 1, prev[j] + CASE WHEN -list_position(list_distinct(list_concat(r, h)), r[j])::INT = y[1] THEN 0 ELSE 1 END)::INT])),
       lambda acc, t: list_append(acc, least(acc[len(acc)] + 1, t[1])::INT)))[len(r) + 1] AS dist FROM w)"""
 
+#: DuckDB's levenshtein counts bytes, so each pair's letters become single ones (at most 127 a pair).
+_LETTERS = f"""
+n AS (SELECT conv_id, turn, {_normal('ref')} AS ref, {_normal('hyp')} AS hyp FROM pairs),
+l AS (SELECT *, list_distinct(string_split(ref || hyp, '')) AS letters FROM n),
+c AS (
+  SELECT conv_id, turn, length(ref)::INT AS n_ref, ref, hyp,
+    levenshtein(translate(ref, array_to_string(letters, ''), array_to_string(list_transform(range(1, len(letters) + 1), lambda k: chr(k::INT)), '')),
+                translate(hyp, array_to_string(letters, ''), array_to_string(list_transform(range(1, len(letters) + 1), lambda k: chr(k::INT)), ''))) AS edits
+  FROM l
+)"""
+
+_SIGNALS = _LETTERS + "," + _WER.replace("n AS (", "n2 AS (", 1).replace("FROM n)", "FROM n2)", 1) + """,
+clips AS (
+  SELECT p.*, conv_id * 31 + turn AS k, """ + words_sql("ref") + """ * 4 / 10.0::DOUBLE AS seconds FROM pairs p
+),
+paired AS (
+  SELECT clips.*, k % 11 = 0 AS missing, k % 11 <> 0 AND k % 13 = 0 AS unreadable, k % 7 = 0 AS failed, c.hyp AS heard,
+    CASE WHEN c.ref <> '' AND c.hyp <> '' THEN c.edits / c.n_ref END AS cer0, CASE WHEN d.ref <> '' AND d.hyp <> '' THEN d.dist / len(d.r) END AS wer0
+  FROM clips JOIN c USING (conv_id, turn) JOIN d USING (conv_id, turn)
+),
+rated AS (
+  SELECT *, NOT missing AND NOT unreadable AND NOT failed AS ok, round_even(cer0, 3) AS cer3, round_even(wer0, 3) AS wer3,
+    CASE WHEN NOT missing AND NOT unreadable THEN length(replace(ref, ' ', '')) / greatest(seconds, 1e-6::DOUBLE) END AS cps
+  FROM paired
+),
+listed AS (
+  SELECT *, CASE WHEN missing THEN 'missing_audio' WHEN unreadable THEN 'duration_read_error' ELSE array_to_string(list_filter([
+    CASE WHEN seconds < 0.5::DOUBLE THEN 'too_short' END, CASE WHEN seconds > 1000.0::DOUBLE THEN 'too_long' END,
+    CASE WHEN cps < 12.0::DOUBLE THEN 'too_slow' END, CASE WHEN cps > 15.0::DOUBLE THEN 'too_fast' END,
+    CASE WHEN NOT failed AND cer3 > 0.25::DOUBLE THEN 'high_cer' END, CASE WHEN NOT failed AND heard = '' THEN 'empty_transcript' END,
+    CASE WHEN failed THEN 'asr_error' END], lambda x: x IS NOT NULL), ', ') END AS flags
+  FROM rated
+)
+SELECT conv_id || '_' || turn AS id, conv_id::VARCHAR AS prompt_id, conv_id || '/' || turn AS audio_path,
+  CASE WHEN k % 13 <> 0 THEN round_even(seconds, 3) END AS duration_sec, CASE WHEN ok THEN hyp END AS transcript,
+  CASE WHEN ok THEN cer3 END AS cer, CASE WHEN ok THEN wer3 END AS wer, round_even(cps, 2) AS chars_per_sec, flags,
+  CASE WHEN missing OR unreadable THEN 'error' WHEN flags <> '' THEN 'flagged' ELSE 'ok' END AS auto_status,
+  CASE WHEN missing THEN 'audio file not found: ' || conv_id || '/' || turn WHEN unreadable THEN 'duration: not readable' WHEN failed THEN 'asr: no answer' END AS error,
+  k AS seq
+FROM listed"""
+
 ORACLES = {
+    "plan_total_deficit": _with(_PLAN) + " SELECT coalesce(sum(deficit), 0)::BIGINT AS total FROM missing",
+    "category_share_total": """
+SELECT round(sum(p), 9) AS total, count(*) AS n FROM (VALUES ('daily_conversation', 0.25::DOUBLE), ('customer_service', 0.15::DOUBLE), ('questions', 0.15::DOUBLE),
+  ('code_switching', 0.15::DOUBLE), ('numbers_dates', 0.10::DOUBLE), ('commands_requests', 0.10::DOUBLE), ('emotional', 0.05::DOUBLE), ('formal_news', 0.05::DOUBLE)) AS t(category, p)""",
+    "cer_pairs_whole": _with(_LETTERS) + " SELECT conv_id, turn, n_ref AS n, CASE WHEN ref <> '' AND hyp <> '' THEN edits / n_ref END AS cer FROM c",
+    "signals_records": _with(_SIGNALS),
+    "batch_outcomes": _ROLES + "SELECT count(*) FILTER (auto_status = 'ok') AS n_ok, count(*) FILTER (auto_status = 'flagged') AS n_flagged, count(*) FILTER (auto_status = 'error') AS n_error FROM quality",
+    "cer_by_category_ranked": _with("m AS (SELECT category, count(*) AS n, round(avg(cer), 9) AS mean_cer FROM report GROUP BY category)") + """
+SELECT *, row_number() OVER (ORDER BY category)::INT AS by_key, row_number() OVER (ORDER BY n DESC, category)::INT AS by_size, row_number() OVER (ORDER BY mean_cer DESC NULLS LAST, category)::INT AS by_mean FROM m""",
+    "first_leaks": "SELECT lpad(page_id::VARCHAR, 12, '0') AS id, 'url' AS field, url AS value FROM pages WHERE starts_with(url, 'http:') ORDER BY page_id LIMIT 3",
+    "log_in_order": _ROLES + "SELECT id, decision, final_text, note, (row_number() OVER (ORDER BY seq) - 1)::BIGINT AS seq FROM log",
+    "log_overwrite": _ROLES + "SELECT id, arg_max(decision, seq) AS decision, arg_max(final_text, seq) AS final_text, NULL::VARCHAR AS note, min(seq) AS first_seq FROM log GROUP BY id",
+    "wav_durations": """
+SELECT doc_id::VARCHAR AS path, CASE WHEN doc_id % 7 <> 0 THEN (doc_id % 5000 + 1) / 16000.0::DOUBLE END AS duration_sec, CASE WHEN doc_id % 7 <> 0 THEN 16000 END AS sample_rate FROM documents""",
+    "wav_clips": """
+SELECT path, n_bytes FROM (
+  SELECT doc_id::VARCHAR AS path, (CASE WHEN doc_id % 7 = 0 THEN 4 + doc_id % 400 ELSE 44 + 2 * (doc_id % 5000 + 1) + CASE WHEN doc_id % 5 = 0 THEN 12 ELSE 0 END END)::BIGINT AS n_bytes FROM documents)
+WHERE n_bytes >= 256""",
+    "dataset_schema": """
+SELECT name, type FROM (VALUES ('id', 'string'), ('audio', 'string'), ('audio_relpath', 'string'), ('text', 'string'), ('original_prompt', 'string'), ('category', 'string'),
+  ('voice_provider', 'string'), ('voice_id', 'string'), ('voice_gender', 'string'), ('voice_dialect', 'string'), ('duration_sec', 'float'), ('sample_rate', 'int'),
+  ('asr_transcript', 'string'), ('asr_cer', 'float'), ('asr_wer', 'float'), ('auto_flags', 'array<string>'), ('auto_status', 'string'), ('review_decision', 'string'),
+  ('review_note', 'string'), ('is_synthetic', 'boolean'), ('language', 'string')) AS t(name, type)""",
     "export_join": _export(_DEFAULT),
     "export_include_rejected": _export(f"{_REVIEWED} AND {_NOT_FLAGGED}"),
     "export_include_flagged": _export(f"{_REVIEWED} AND {_NOT_REJECTED}"),
@@ -204,3 +268,5 @@ SELECT CASE voice_id WHEN 'ar-EG-SalmaNeural' THEN 'Salma' WHEN 'ar-EG-ShakirNeu
     "stream_dedup": _ROLES + "SELECT DISTINCT id, decision FROM log",
     "stream_resume": _ROLES + "SELECT id, min(seq) AS seq FROM log GROUP BY id",
 }
+# over several files a stream ends where it ends over one
+ORACLES |= {f"{name}_files": ORACLES[name] for name in ("stream_latest", "stream_dedup", "stream_resume")}

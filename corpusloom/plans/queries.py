@@ -2,32 +2,25 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from corpusloom import config
 from corpusloom.config import Export
 from corpusloom.functions import display as D
 from corpusloom.functions import quantiles, rates
 from corpusloom.functions import text as T
-from corpusloom.operators import assign, candidates, checks, curate, manifest, reports, review, sample
+from corpusloom.operators import assign, candidates, checks, curate, manifest, reports, review, sample, signals
 from corpusloom.plans import roles
-from corpusloom.sources import jsonl
+from corpusloom.shared import scratch
+from corpusloom.sources import jsonl, wav
 from corpusloom.streaming import incremental
 
 LATIN = "A-Za-z"
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared checkpoint folder; in tests, where none is set, a temporary one."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or os.path.join(tempfile.gettempdir(), "corpusloom")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _joined(spark, d, rules: Export | None = None):
     return curate.joined(roles.audio(spark, d), roles.quality(spark, d), roles.reviews(spark, d), rules)
 
@@ -107,16 +100,15 @@ def text_hash(spark, d):
     return roles.candidates(spark, d).select("seq", T.text_hash(F.col("text")).alias("hash"))
 
 
-def _validated(spark, d):
-    return candidates.validated(roles.candidates(spark, d), low=20, high=600, script=LATIN, least=0.8)
+RULES = {"low": 20, "high": 600, "script": LATIN, "least": 0.8}
 
 
 def validate_reasons(spark, d):
-    return _validated(spark, d).select("seq", "word_count", "hash", "reason")
+    return candidates.judged(roles.candidates(spark, d), **RULES)
 
 
 def validate_reason_counts(spark, d):
-    return candidates.reason_counts(_validated(spark, d))
+    return candidates.reason_counts(validate_reasons(spark, d))
 
 
 def _plan(spark):
@@ -129,8 +121,11 @@ def _deficits(spark, d):
 
 
 def accept_candidates(spark, d):
-    valid = _validated(spark, d).where("reason = ''")
-    return candidates.prompt_records(candidates.within_quota(valid, _deficits(spark, d)), "stub")
+    # the quota is cut on narrow rows; texts come for what is accepted
+    rows = roles.candidates(spark, d)
+    valid = validate_reasons(spark, d).where("reason = ''").join(rows.select("seq", "category"), "seq")
+    taken = candidates.within_quota(valid, _deficits(spark, d))
+    return candidates.prompt_records(taken.join(rows.select("seq", T.clean(F.col("text")).alias("cleaned")), "seq"), "stub")
 
 
 def plan_targets(spark, d):
@@ -141,6 +136,14 @@ def plan_deficit(spark, d):
     return _deficits(spark, d)
 
 
+def plan_total_deficit(spark, d):
+    return candidates.total_deficit(_deficits(spark, d))
+
+
+def category_share_total(spark, d):
+    return config.category_table(spark).agg(F.round(F.sum("proportion"), 9).alias("total"), F.count("*").alias("n"))
+
+
 def plan_next_category(spark, d):
     return candidates.next_category(_deficits(spark, d))
 
@@ -184,7 +187,7 @@ def cer_pairs(spark, d):
 
 
 def cer_pairs_whole(spark, d):
-    """As cer_pairs, over the texts as they are; no SQL, as DuckDB's levenshtein counts bytes."""
+    """As cer_pairs, over the texts as they are."""
     p = roles.pairs(spark, d).withColumn("ref", T.normalize_for_comparison(F.col("ref"))).withColumn("hyp", T.normalize_for_comparison(F.col("hyp")))
     return p.select("conv_id", "turn", F.length("ref").alias("n"), rates.cer(F.col("ref"), F.col("hyp")).alias("cer"))
 
@@ -203,6 +206,21 @@ def quality_flags(spark, d):
     return roles.quality(spark, d).select("id", "duration_sec", "cer", "wer", "chars_per_sec", D.flag_list(F.col("flags")).alias("flags"), "auto_status")
 
 
+def signals_records(spark, d):
+    """Quality records of clips: turns as texts, the replies as transcripts; some files are missing or unreadable, some transcriptions failed."""
+    k = F.col("conv_id") * 31 + F.col("turn")
+    clips = roles.pairs(spark, d).select(
+        F.concat_ws("_", "conv_id", "turn").alias("id"), F.col("conv_id").cast("string").alias("prompt_id"), F.concat_ws("/", "conv_id", "turn").alias("audio_path"), F.col("ref").alias("text"),
+        F.when(k % 13 != 0, T.word_count(F.col("ref")) * 4 / F.lit(10.0)).alias("duration_sec"), (k % 11 != 0).alias("exists"), F.col("hyp").alias("transcript"),
+        F.when(k % 7 == 0, F.lit("no answer")).alias("asr_error"), k.alias("seq"),
+    )
+    return signals.signals(clips, roles.LIMITS).withColumn("flags", D.flag_list(F.col("flags")))
+
+
+def batch_outcomes(spark, d):
+    return signals.outcomes(roles.quality(spark, d))
+
+
 def auto_status_counts(spark, d):
     return roles.quality(spark, d).groupBy("auto_status").agg(F.count("*").alias("n"))
 
@@ -262,6 +280,10 @@ def cer_by_category(spark, d):
     return _rounded(reports.by_category(_report(spark, d)))
 
 
+def cer_by_category_ranked(spark, d):
+    return reports.ranked(cer_by_category(spark, d), "category").select("category", "n", "mean_cer", "by_key", "by_size", "by_mean")
+
+
 def category_ratio(spark, d):
     return _rounded(reports.versus(_report(spark, d), "fr"))
 
@@ -310,6 +332,11 @@ def leaked_paths(spark, d):
     return checks.leaked_paths(p, prefixes=("http:", "m.", "blog."))
 
 
+def first_leaks(spark, d):
+    p = roles.table(spark, d, "pages").select(F.lpad(F.col("page_id").cast("string"), 12, "0").alias("id"), "url")
+    return checks.first_leaks(p, 3, prefixes=("http:",))
+
+
 def relative_paths(spark, d):
     u = F.col("url")
     return roles.table(spark, d, "pages").select("page_id", D.dataset_relative(u).alias("relative"), D.posix(F.translate(u, "/", "\\")).alias("posix"), D.absolute("/base", D.basename(u)).alias("absolute"), D.is_absolute(u).alias("is_absolute"))
@@ -351,6 +378,77 @@ def jsonl_roundtrip(spark, d):
     return back.select("id", "decision", "final_text", "note", "seq")
 
 
+def _log_files(spark, d, path: str, columns: list[str]) -> None:
+    """The decision log as JSON lines in several files, in order of their names."""
+    roles.decision_log(spark, d).repartitionByRange(5, "seq").sortWithinPartitions("seq").select(*columns).write.option("ignoreNullFields", "false").json(path)
+
+
+def log_in_order(spark, d):
+    path = scratch(spark, "log")
+    _log_files(spark, d, path, ["id", "decision", "final_text", "note"])
+    return jsonl.read_in_order(spark, path, "id STRING, decision STRING, final_text STRING, note STRING")
+
+
+def log_overwrite(spark, d):
+    """A log that is rewritten from itself: its latest entries in place of all."""
+    path, schema = scratch(spark, "log"), "id STRING, decision STRING, final_text STRING, note STRING, seq LONG"
+    _log_files(spark, d, path, ["id", "decision", "final_text", "note", "seq"])
+    kept = manifest.compacted(jsonl.read(spark, path, schema))
+    jsonl.overwrite(kept.select("id", "decision", "final_text", "note", F.col("first_seq").alias("seq")), path)
+    return jsonl.read(spark, path, schema).select("id", "decision", "final_text", "note", F.col("seq").alias("first_seq"))
+
+
+@F.pandas_udf(BinaryType())
+def _clip(key: pd.Series) -> pd.Series:
+    """A clip of key % 5000 + 1 frames; every seventh is no WAV, every fifth has a longer header than usual."""
+
+    def one(k: int) -> bytes:
+        if k % 7 == 0:
+            return b"RIFF" + bytes(k % 400)
+        plain = wav.encode(b"\0\0" * (k % 5000 + 1), 16000)
+        extra = b"LIST" + (4).to_bytes(4, "little") + b"INFO"
+        return plain if k % 5 else plain[:4] + (len(plain) + 4).to_bytes(4, "little") + plain[8:36] + extra + plain[36:]
+
+    return key.map(one)
+
+
+def _clips(spark, d):
+    return roles.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), _clip("doc_id").alias("content"))
+
+
+def wav_durations(spark, d):
+    return wav.durations(_clips(spark, d))
+
+
+def wav_clips(spark, d):
+    return _clips(spark, d).where(wav.is_clip(F.col("content"))).select("path", F.octet_length("content").cast("long").alias("n_bytes"))
+
+
+def dataset_schema(spark, d):
+    path = scratch(spark, "dataset")
+    curate.typed(_metadata(spark, d)).write.parquet(path)
+    return checks.schema_rows(spark.read.parquet(path))
+
+
+def _event_files(spark, d) -> str:
+    path = scratch(spark, "events")
+    roles.table(spark, d, "events").repartitionByRange(6, "event_id").write.parquet(path)
+    return path
+
+
+def stream_latest_files(spark, d):
+    """As stream_latest over six files, one a micro-batch: each merges with the state of those before."""
+    return incremental.run_latest(spark, _event_files(spark, d), scratch(spark, "stream"))
+
+
+def stream_dedup_files(spark, d):
+    return incremental.run_dedup(spark, _event_files(spark, d), scratch(spark, "stream"))
+
+
+def stream_resume_files(spark, d):
+    return incremental.run_resume(spark, _event_files(spark, d), scratch(spark, "stream"))
+
+
 def export_parquet_roundtrip(spark, d):
     path = scratch(spark, "dataset")
     curate.typed(_metadata(spark, d)).write.parquet(path)
@@ -381,5 +479,7 @@ QUERIES = {
         order_statistics_by_category, cube_voice_category, stratified_sample_24, dataset_card_stats, verify_distribution, verify_durations,
         verify_paths, leaked_paths, relative_paths, missing_audio_files, final_schema_cast, display_labels, error_texts, json_props,
         segments_joined, jsonl_roundtrip, export_parquet_roundtrip, stream_latest, stream_dedup, stream_resume,
+        plan_total_deficit, category_share_total, signals_records, batch_outcomes, cer_by_category_ranked, first_leaks, log_in_order, log_overwrite,
+        wav_durations, wav_clips, dataset_schema, stream_latest_files, stream_dedup_files, stream_resume_files,
     )
 }

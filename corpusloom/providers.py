@@ -12,27 +12,23 @@ import os
 import random
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.sources import wav
 
-# Templates for a generator, by category; own wording.
-INSTRUCTIONS = {
-    "daily_conversation": "Everyday talk between friends, family and neighbours; a new situation in every sentence.",
-    "customer_service": "Calls to a service desk: orders, complaints, bookings, bills; polite and plain.",
-    "questions": "Short questions about times, places, prices and opinions.",
-    "code_switching": "Sentences with one or two English words in Latin letters.",
-    "numbers_dates": "Sentences with numbers, dates, prices, times or percentages, in either set of digits.",
-    "commands_requests": "Short commands and polite requests.",
-    "emotional": "Sentences with a clear mood: joy, anger, surprise, sadness.",
-    "formal_news": "Announcements and headlines as a presenter would say them.",
-}
 
 
 def instruction(category: str, n: int, low: int, high: int) -> str:
-    return f"{INSTRUCTIONS.get(category, category)} Write {n} different sentences of {low} to {high} words. Answer with a JSON object that has the list as prompts."
+    """A request in words; the category's name says what is wanted."""
+    return f"Write {n} different sentences of the kind \"{category.replace('_', ' ')}\", each of {low} to {high} words. Answer with a JSON object that has the list as prompts."
+
+
+def asking(ask: Callable[[str, float], str], low: int, high: int, temperature: float) -> Callable[[str, int, int], str]:
+    """A reply function for ``generate`` from a model that takes a request and a temperature."""
+    return lambda category, n, batch: ask(instruction(category, n, low, high), temperature)
 
 
 def retry(call: Callable, attempts: int = 3, first: float = 2.0, most: float = 10.0, sleep: Callable[[float], None] = time.sleep):
@@ -46,6 +42,17 @@ def retry(call: Callable, attempts: int = 3, first: float = 2.0, most: float = 1
             sleep(min(most, first * 2**k))
 
 
+def within(seconds: float | None, call: Callable):
+    """The call's result; TimeoutError if it takes longer. A call that hangs keeps its thread, not the caller."""
+    if seconds is None:
+        return call()
+    pool = ThreadPoolExecutor(1)
+    try:
+        return pool.submit(call).result(timeout=seconds)
+    finally:
+        pool.shutdown(wait=False, cancel_futures=True)
+
+
 # Fixed values of the offline generator: words it draws from.
 _WORDS = "انا عايز اروح البيت دلوقتي مع صاحبي علشان نتكلم عن الشغل بكره الصبح في الميدان كده يعني خالص طب فين الكتاب الجديد ممكن تساعدني شوية".split()
 
@@ -78,8 +85,8 @@ def stub_speech(text: str, voice_id: str, rate: int) -> bytes:
 SPEECH: dict[str, Callable[[str, str, int], bytes]] = {"edge": stub_speech, "gtts": stub_speech}
 
 
-def synthesize(todo: DataFrame, root: str, folder: str, providers: dict[str, Callable[[str, str, int], bytes]] | None = None) -> DataFrame:
-    """Audio records of pending rows (audio_records of assign.py) with path, seconds, status and error. ``root`` must be shared by the executors."""
+def synthesize(todo: DataFrame, root: str, folder: str, providers: dict[str, Callable[[str, str, int], bytes]] | None = None, timeout: float | None = None, first_wait: float = 2.0) -> DataFrame:
+    """Each call gets ``timeout`` seconds and three tries, the waits between them doubling. Audio records of pending rows (audio_records of assign.py) with path, seconds, status and error. ``root`` must be shared by the executors."""
     providers = providers or SPEECH
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -91,7 +98,7 @@ def synthesize(todo: DataFrame, root: str, folder: str, providers: dict[str, Cal
                 try:
                     if r["voice_provider"] not in providers:
                         raise KeyError(f"unknown provider: {r['voice_provider']}")
-                    clip = retry(lambda r=r: providers[r["voice_provider"]](r["text"], r["voice_id"], int(r["sample_rate"])), sleep=lambda s: None)
+                    clip = retry(lambda r=r: within(timeout, lambda: providers[r["voice_provider"]](r["text"], r["voice_id"], int(r["sample_rate"]))), first=first_wait)
                     if len(clip) < wav.LEAST_BYTES:
                         raise ValueError(f"only {len(clip)} bytes")
                     with open(f"{at}.part", "wb") as fh:

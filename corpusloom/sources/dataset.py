@@ -42,9 +42,9 @@ def card(metadata: DataFrame, cfg: Config) -> str:
     """Markdown with the dataset's figures; only aggregates are collected."""
     x = reports.card_figures(metadata).first()
     lines = [f"# {cfg.export.dataset_name}", "", "Synthetic speech with reviewed transcripts.", f"Language: {cfg.export.language}.", ""]
-    lines += [f"- Samples: **{x['n_samples']}**", f"- Total duration: **{x['total_min']:.1f} min** ({x['total_sec']:.0f} s)", f"- Mean round-trip CER: **{x['mean_cer']:.3f}**", f"- Sample rate: **{cfg.speech.output_sample_rate} Hz**, mono 16-bit PCM", ""]
+    lines += ["| Figure | Value |", "|-|-|", f"| Rate and format | {cfg.speech.output_sample_rate} Hz, 16 bit, one channel |", f"| Samples | {x['n_samples']} |", f"| Seconds of speech | {x['total_sec']:.3f} |", f"| Character error rate, mean | {x['mean_cer']:.4f} |", ""]
     for title, column in (("Voices", "voice_id"), ("Categories", "category")):
-        counts = manifest.counted(metadata, column, "first_seq").orderBy("place").limit(1000).collect()
+        counts = manifest.counted(metadata, column, "first_seq").orderBy("place").toLocalIterator()
         lines += [f"## {title}", "", *[f"- `{r[column]}`: {r['n']}" for r in counts], ""]
     lines += ["## Columns", "", *[f"- `{f.name}`: {f.dataType.simpleString()}" for f in DATASET.fields], "", "Paths in `audio` are relative to this folder.", ""]
     return "\n".join(lines)
@@ -75,12 +75,24 @@ def export(spark: SparkSession, cfg: Config, audio: DataFrame, quality: DataFram
 
 
 def write_arrow(df: DataFrame, path: str) -> None:
-    """One Arrow file for small exports; the rows pass through the driver."""
+    """One Arrow file; partitions pass through the driver one at a time, as record batches, so it holds a partition at most."""
     import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-    t = df.toArrow()
-    with pa.OSFile(path, "wb") as sink, pa.ipc.new_file(sink, t.schema) as writer:
-        writer.write_table(t)
+    schema, names = to_arrow_schema(df.schema), df.columns
+
+    def rows():
+        held = []
+        for r in df.toLocalIterator():
+            held.append(r)
+            if len(held) == 10_000:
+                yield held
+                held = []
+        yield held
+
+    with pa.OSFile(path, "wb") as sink, pa.ipc.new_file(sink, schema) as writer:
+        for part in rows():
+            writer.write_batch(pa.RecordBatch.from_arrays([pa.array([r[i] for r in part], schema.field(n).type) for i, n in enumerate(names)], schema=schema))
 
 
 def load(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,8 +105,7 @@ def verify(spark: SparkSession, folder: str) -> list[str]:
     bad = checks.schema_differences(df, DATASET)
     x = checks.path_report(df, "audio").first()
     bad += [f"{x[k]} of {x['n']} audio paths: {k[2:]}" for k in ("n_absolute", "n_outside", "n_null") if x[k]]
-    leaks = checks.leaked_paths(df)
-    bad += [f"row {r['id']}: {r['field']} holds a local path" for r in leaks.limit(3).collect()]
+    bad += [f"row {r['id']}: {r['field']} holds a local path" for r in checks.first_leaks(df).collect()]
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{folder}/audio").select(basename(F.col("path")).alias("path")) if jsonl.exists(spark, f"{folder}/audio") else spark.createDataFrame([], "path string")
     missing = checks.missing_files(df.withColumn("file", basename(F.col("audio"))), files, "file").count()
     return bad + ([f"{missing} audio files are missing"] if missing else [])

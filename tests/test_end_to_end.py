@@ -1,10 +1,11 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom import cli, providers
-from corpusloom.config import Config, Prompts
+from corpusloom.config import Config, Export, Prompts, Speech
 from corpusloom.schemas import REVIEWED, with_seq
 from corpusloom.sources import dataset, jsonl, wav
 from corpusloom.streaming import incremental
@@ -62,6 +63,67 @@ def test_retry():
         providers.retry(lambda: 1 / 0, sleep=waits.append)
 
 
+def test_a_call_that_hangs_is_left():
+    began = time.monotonic()
+    with pytest.raises(TimeoutError):
+        providers.within(0.1, lambda: time.sleep(2))
+    assert time.monotonic() - began < 1.5 and providers.within(5, lambda: 7) == 7 and providers.within(None, lambda: 8) == 8
+
+
+def test_slow_speech_becomes_failed_rows(spark, tmp_path):
+    cfg = Config(str(tmp_path), prompts=Prompts(total_target=3, categories={"questions": 1.0}), speech=Speech(timeout=0.2, first_wait=0.01))
+    cli.generate_prompts(spark, cfg)
+
+    def slow(text, voice, rate):
+        time.sleep(1)
+        return providers.stub_speech(text, voice, rate)
+
+    cli.synthesize(spark, cfg, {"edge": slow, "gtts": providers.stub_speech})
+    got = {r["voice_provider"]: r for r in cli.read(spark, cfg, "audio_manifest").collect()}
+    assert got["edge"]["status"] == "failed" and got["edge"]["error"].startswith("TimeoutError") and got["gtts"]["status"] == "ok"
+
+
+def test_a_model_gets_the_request_and_the_temperature(spark):
+    asked = []
+
+    def ask(request, temperature):
+        asked.append((request, temperature))
+        return '{"prompts": ["one", "two"]}'
+
+    got = providers.generate(spark, "formal_news", 5, reply=providers.asking(ask, 3, 25, 0.4)).collect()
+    assert [r["text"] for r in got] == ["one", "two"] and asked[0][1] == 0.4
+    assert all(x in asked[0][0] for x in ("formal news", "5 different", "3 to 25", "JSON"))
+
+
+def test_rows_come_lazily(spark, tmp_path):
+    rows = spark.createDataFrame([(f"i{k}", "accept", None, None) for k in range(5)], REVIEWED)
+    jsonl.append(rows, str(tmp_path / "n"))
+    assert sorted(r["id"] for r in jsonl.iterate(spark, str(tmp_path / "n"), REVIEWED)) == [f"i{k}" for k in range(5)]
+    with pytest.raises(Exception):
+        list(jsonl.iterate(spark, str(tmp_path / "nothing"), REVIEWED))
+
+
+def test_arrow_file(spark, tmp_path):
+    import pyarrow as pa
+
+    rows = spark.createDataFrame([(1, "a", [1.5]), (2, None, None)], "id long, text string, x array<float>").repartition(2)
+    dataset.write_arrow(rows, str(tmp_path / "x.arrow"))
+    with pa.OSFile(str(tmp_path / "x.arrow")) as f:
+        back = pa.ipc.open_file(f).read_all()
+    assert sorted(back.to_pylist(), key=lambda r: r["id"]) == [{"id": 1, "text": "a", "x": [1.5]}, {"id": 2, "text": None, "x": None}]
+
+
+def test_lines_only_export(spark, tmp_path):
+    cfg = Config(str(tmp_path), prompts=Prompts(total_target=3, categories={"questions": 1.0}), export=Export(format="jsonl_only"))
+    cli.generate_prompts(spark, cfg)
+    cli.synthesize(spark, cfg)
+    cli.compute_quality(spark, cfg)
+    cli.decide(spark, cfg, [r["id"] for r in cli.read(spark, cfg, "audio_manifest").collect()], "edit", "another text")
+    assert cli.export(spark, cfg) == cfg.path("final_dir")
+    assert (tmp_path / "data/final/README.md").exists() and not (tmp_path / "data/final" / cfg.export.dataset_name).exists()
+    assert spark.read.json(f"{cfg.path('final_dir')}/metadata").count() == 3
+
+
 def test_stages_resume_and_export(spark, tmp_path):
     cfg = Config(str(tmp_path), prompts=Prompts(total_target=12, categories={"questions": 0.5, "emotional": 0.5}))
     assert cli.generate_prompts(spark, cfg) == 12 and cli.generate_prompts(spark, cfg) == 0
@@ -96,7 +158,7 @@ def test_stages_resume_and_export(spark, tmp_path):
 
 
 def test_failed_rows_stay_rows(spark, tmp_path):
-    cfg = Config(str(tmp_path), prompts=Prompts(total_target=3, categories={"questions": 1.0}))
+    cfg = Config(str(tmp_path), prompts=Prompts(total_target=3, categories={"questions": 1.0}), speech=Speech(first_wait=0.01))
     cli.generate_prompts(spark, cfg)
 
     def broken(text, voice, rate):
