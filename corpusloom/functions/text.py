@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 # What counts as white space (Unicode, also U+001C to U+001F), as a word character, as a mark to drop.
-WS = r"[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# White space is every separator and a few controls: few tests a character, so the expressions run fast.
+WS = r"[\p{Z}\x09-\x0d\x1c-\x1f\x85]"
+NOT_WS = r"[^\p{Z}\x09-\x0d\x1c-\x1f\x85]"
 NOT_WORD = r"[^\p{L}\p{N}_]+"
-ZERO_WIDTH = r"[\ufeff\u200b-\u200d]"
-PICTOGRAPHS = r"[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}]"
-MARKS = r"[\u064b-\u0652\u0670\u0640]"
-RECITATION_MARKS = r"[\u06d6-\u06ed]"
+ZERO_WIDTH = r"\ufeff\u200b-\u200d"
+PICTOGRAPHS = r"\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}"
+MARKS = r"\u064b-\u0652\u0670\u0640"
+RECITATION_MARKS = r"\u06d6-\u06ed"
 FOLD_FROM = "٠١٢٣٤٥٦٧٨٩آأإةى"
 FOLD_TO = "0123456789اااهي"
 SCRIPT = r"\u0600-\u06ff"
@@ -38,15 +40,13 @@ def squeeze(text: Column) -> Column:
 
 def clean(text: Column) -> Column:
     """Ends stripped of white space, then of quotes; zero-width characters and pictographs dropped; white space squeezed."""
-    text = F.regexp_replace(text, f"^{WS}+|{WS}+$", "")
-    text = F.regexp_replace(text, "^[\"']+|[\"']+$", "")
-    text = F.regexp_replace(text, ZERO_WIDTH, "")
-    return squeeze(F.regexp_replace(text, PICTOGRAPHS, ""))
+    text = F.regexp_replace(F.btrim(squeeze(text), F.lit("\"'")), f"[{ZERO_WIDTH}{PICTOGRAPHS}]+", "")
+    return F.trim(F.regexp_replace(text, "  +", " "))
 
 
 def normalize_light(text: Column, assume_nfc: bool = False) -> Column:
     """For hashing: marks and elongation dropped, letters kept as they are."""
-    return F.regexp_replace(F.regexp_replace(nfc(text, assume_nfc), MARKS, ""), RECITATION_MARKS, "")
+    return F.regexp_replace(nfc(text, assume_nfc), f"[{MARKS}{RECITATION_MARKS}]+", "")
 
 
 def text_hash(text: Column, assume_nfc: bool = False) -> Column:
@@ -56,23 +56,18 @@ def text_hash(text: Column, assume_nfc: bool = False) -> Column:
 
 def normalize_for_comparison(text: Column, assume_nfc: bool = False) -> Column:
     """For error rates: marks dropped, digits and letter variants folded, all else but word characters to single spaces, lower case."""
-    text = F.translate(F.regexp_replace(nfc(text, assume_nfc), MARKS, ""), FOLD_FROM, FOLD_TO)
+    text = F.translate(F.regexp_replace(nfc(text, assume_nfc), f"[{MARKS}]+", ""), FOLD_FROM, FOLD_TO)
     return F.lower(F.trim(F.regexp_replace(text, NOT_WORD, " ")))
 
 
-def words(text: Column) -> Column:
-    return F.filter(F.split(text, WS + "+"), lambda w: w != "")
-
-
 def word_count(text: Column) -> Column:
-    return F.size(words(text))
+    """Runs of what is not white space; null for null."""
+    return F.regexp_count(text, F.lit(NOT_WS + "+"))
 
 
 def script_ratio(text: Column, script: str = SCRIPT) -> Column:
     """Share of the script among characters that are not white space; null where there are none."""
-    own = F.length(F.regexp_replace(text, f"[^{script}]", ""))
-    every = F.length(F.regexp_replace(text, WS, ""))
-    return F.when(every > 0, own / every)
+    return F.try_divide(F.length(F.regexp_replace(text, f"[^{script}]+", "")), F.length(F.regexp_replace(text, WS + "+", "")))
 
 
 def looks_like_script(text: Column, least: float = 0.3, script: str = SCRIPT) -> Column:
