@@ -31,7 +31,7 @@ from corpusloom.llm.common import lean
 from corpusloom.llm.pretokens import Splitter
 
 #: Pre-tokens in each of a worker's two cache generations, the longest that is kept, and pairs in the compatibility table.
-CACHE, CACHE_CHARS, PAIRS = 40_000, 64, 100_000
+CACHE, CACHE_CHARS, PAIRS = 100_000, 64, 150_000
 
 
 def byte_chars() -> dict[str, int]:
