@@ -16,7 +16,12 @@
 4. A candidate must agree in enough minima for the similarity asked for; it is confirmed on full
    shingle sets made from whole texts. First each class's most similar partner; then, between
    components that are still apart, all others.
-5. Components: nodes take a neighbour as label and edges are renamed, until few enough for one task.
+5. What crowded regions leave out is found exactly: all their classes meet in a prefix join on full sets. Of n shingles
+   ordered from rare to common, two sets that are similar share one of their first n - ceil(n * percent / 100) + 1.
+   Only classes of different components meet, and not those of a shingle's largest component among themselves, so a
+   group that hangs together already costs its size. Any order gives the same links; COMMON shingles, counted roughly,
+   stand last, which keeps passages that many documents share out of the join.
+6. Components: nodes take a neighbour as label and edges are renamed, until few enough for one task.
 
 Defined cases: a null or blank text has an empty set and is linked with nothing; a text of fewer
 words than a shingle is one shingle; a null id is linked with nothing, has no component and is
@@ -45,6 +50,9 @@ CONTEXT, HALO, CROWDED = 8, 24, (2, 3, 4)
 #: Rows of small tables (regions, hubs, labels) up to which they are broadcast; edges up to which one task unites them; pairs of one class for each copy of its text.
 FEW, FEW_EDGES, COPY_PAIRS = 50_000, 100_000, 64
 
+#: Shingles counted at a time; times that one must be met in them to count as common; common ones that are put in order.
+COUNTED, OFTEN, COMMON = 500_000, 3, 50_000
+
 _rng = np.random.default_rng(20240229)
 _MUL = _rng.integers(0, 2**63, N_HASH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 2**63, N_HASH, dtype=np.uint64)
@@ -397,13 +405,97 @@ def _crowd(classes: DataFrame, regions: DataFrame) -> DataFrame:
 
 def candidates(classes: DataFrame, percent: int) -> DataFrame:
     """a, b, score: pairs of classes (doc_id, tkey, sig), each once."""
+    return pairs_and_crowd(classes, percent)[0]
+
+
+def pairs_and_crowd(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """a, b, score: pairs of classes (doc_id, tkey, sig), each once; and node, sketch: the classes of crowded regions."""
     least = least_matches(percent)
     found, regions = _sorted_pairs(classes, least)
     crowd = _crowd(classes, regions)
     hubs = cut(crowd.groupBy("region").agg(F.max(F.struct("score", "id", "key", "sketch")).alias("m")).select("region", "m.id", "m.key", "m.sketch"))
     hubs = hubs.select("region", F.col("id").alias("h_id"), F.col("key").alias("h_key"), F.col("sketch").alias("h_sketch"))
     met = crowd.join(_small(hubs), "region").select("id", "key", "sketch", "h_id", "h_key", "h_sketch").mapInArrow(lean(_to_hubs(least)), _PAIRS)
-    return found.union(met).groupBy(_node("a").alias("a"), _node("b").alias("b")).agg(F.max("score").alias("score"))
+    pairs = found.union(met).groupBy(_node("a").alias("a"), _node("b").alias("b")).agg(F.max("score").alias("score"))
+    return pairs, crowd.groupBy(F.struct("id", "key").alias("node")).agg(F.first("sketch").alias("sketch"))
+
+
+def _common(size: int):
+    """Shingles that COUNTED ones in a row hold OFTEN times or more, and how often; what is counted decides an order, not a result."""
+
+    def counted(sets):
+        h, n = np.unique(np.concatenate(sets), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h[n >= OFTEN].view(np.int64)), pa.array(n[n >= OFTEN])], ["h", "n"])
+
+    def run(batches):
+        sets, held = [], 0
+        for batch in batches:
+            for text in batch.column(0):
+                sets.append(shingles(text.as_py() or "", size))
+                held += len(sets[-1])
+                if held >= COUNTED:
+                    yield counted(sets)
+                    sets, held = [], 0
+        if sets:
+            yield counted(sets)
+
+    return run
+
+
+_POSTINGS = "h long, id long, key long, l_id long, l_key long, l_size long, n long"
+
+
+def _prefixes(size: int, percent: int, common: np.ndarray):
+    """A row for each shingle of a set's prefix; common: shingles from the rarest to the commonest."""
+    at = np.argsort(common)
+    known = common[at]
+
+    def run(batches):
+        for batch in batches:
+            h, n = [], []
+            for text in batch.column(5):
+                s = shingles(text.as_py() or "", size)
+                rank = np.full(len(s), -1)
+                if len(known):
+                    k = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                    rank = np.where(known[k] == s, at[k], -1)
+                h.append(s[np.lexsort((s, rank))[: len(s) - (len(s) * percent + 99) // 100 + 1]].view(np.int64))
+                n.append(len(s))
+            times = [len(x) for x in h]
+            rows = np.repeat(np.arange(len(n)), times)
+            if len(rows):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h)), *(batch.column(i).take(pa.array(rows)) for i in range(5)), pa.array(np.repeat(n, times))], ["h", "id", "key", "l_id", "l_key", "l_size", "n"])
+
+    return run
+
+
+def _quarter(k: int):
+    """16 four-bit minima of a sketch as a long."""
+    return F.conv(F.hex(F.substring("sketch", 8 * k + 1, 8)), 16, -10).cast("long").alias(f"s{k}")
+
+
+def _unequal(k: int):
+    """How many of 16 four-bit minima of a and b differ."""
+    x = F.col(f"a.s{k}").bitwiseXOR(F.col(f"b.s{k}"))
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+    return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111)))
+
+
+def left_apart(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """a, b: all pairs of members (node, sketch, label) of different labels that may be similar; texts: node, text."""
+    sizes = members.groupBy("label").count()
+    rows = cut(members.join(sizes, "label").select("node", "label", F.col("count").alias("l_size")).join(texts, "node").select("node.id", "node.key", F.col("label.id").alias("l_id"), F.col("label.key").alias("l_key"), "l_size", "text"))
+    often = rows.select("text").mapInArrow(lean(_common(size)), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(COMMON)
+    common = np.array([r["h"] for r in often.collect()][::-1], np.int64).view(np.uint64)
+    postings = cut(rows.mapInArrow(lean(_prefixes(size, percent, common)), _POSTINGS))
+    label = F.struct("l_id", "l_key")
+    mixed = postings.groupBy("h").agg(F.max(F.struct("l_size", "l_id", "l_key")).alias("top"), F.min(label).alias("lo"), F.max(label).alias("hi")).where("lo != hi").select("h", F.struct("top.l_id", "top.l_key").alias("top"))
+    some = postings.join(mixed, "h").select("h", F.struct("id", "key").alias("node"), label.alias("label"), "n", (label != F.col("top")).alias("asks"))
+    some = cut(some.join(members.select("node", *[_quarter(k) for k in range(4)]), "node"))
+    a, b = some.where("asks").alias("a"), some.alias("b")
+    near = (F.col("a.label") != F.col("b.label")) & (~F.col("b.asks") | (F.col("a.node") < F.col("b.node"))) & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)
+    met = a.join(b, (F.col("a.h") == F.col("b.h")) & near & (sum((_unequal(k) for k in range(1, 4)), _unequal(0)) <= N_HASH - least_matches(percent)))
+    return met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -480,7 +572,9 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _renamed(found: DataFrame, labels: DataFrame) -> DataFrame:
-    return found.join(labels.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+    """``found`` with each label replaced by the one that ``labels`` gives it, if any."""
+    others = [c for c in found.columns if c != "label"]
+    return found.join(labels.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left").select(*others, F.coalesce("root", "label").alias("label"))
 
 
 def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -497,8 +591,8 @@ def classify(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     node = F.struct(F.col("doc_id").alias("id"), F.col("tkey").alias("key"))
     linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     classes = cut(signed.where(linkable).groupBy("d1", "d2").agg(F.min(node).alias("node"), F.first("sig").alias("sig")))
-    pairs = cut(candidates(classes.select(F.col("node.id").alias("doc_id"), F.col("node.key").alias("tkey"), "sig"), percent))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    pairs, crowd = (cut(x) for x in pairs_and_crowd(classes.select(F.col("node.id").alias("doc_id"), F.col("node.key").alias("tkey"), "sig"), percent))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(crowd.select("node")).distinct()
     texts = cut(rows.where(F.col("doc_id").isNotNull()).select(node.alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node"]))
     ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p"), "score")
     best = ends.groupBy("p.x").agg(F.max(F.struct("score", F.col("p.y"))).alias("m")).select(F.least("x", "m.y").alias("a"), F.greatest("x", "m.y").alias("b")).distinct()
@@ -508,8 +602,13 @@ def classify(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     more = confirm(cut(apart.select("a", "b")), texts, size, percent)
     between = _labelled(more, first).select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).distinct()
     second = _small(cut(components(between)))
-    named = classes.select("d1", "d2", "node").join(first, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named = named.join(second.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left").select("d1", "d2", F.coalesce("root", "label")["id"].alias("component_id"))
+    named = _renamed(_renamed(classes.select("d1", "d2", "node", F.col("node").alias("label")), first), second)
+    if not crowd.isEmpty():
+        members = cut(_renamed(_renamed(crowd.select("node", "sketch", F.col("node").alias("label")), first), second))
+        rest = confirm(cut(left_apart(members, texts, size, percent)), texts, size, percent)
+        between = rest.join(members.select(F.col("node").alias("a"), F.col("label").alias("a_label")), "a").join(members.select(F.col("node").alias("b"), F.col("label").alias("b_label")), "b")
+        named = _renamed(named, _small(cut(components(between.select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).distinct()))))
+    named = named.select("d1", "d2", F.col("label.id").alias("component_id"))
     # rows that link with nothing need no join, so they do not meet in one task
     columns = ["doc_id", "tkey", "n_shingles", "component_id"]
     result = signed.where(linkable).join(cut(named), ["d1", "d2"]).select(*columns).union(signed.where(~linkable).select("doc_id", "tkey", "n_shingles", F.col("doc_id").alias("component_id")))

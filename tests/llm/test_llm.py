@@ -403,6 +403,25 @@ def test_candidates_do_not_depend_on_the_layout(spark):
     assert {(i, i + 1) for i in range(600, 800, 2)} <= {f[:2] for f in found[0]} and {i for i in range(400)} <= {a for a, b, _ in found[0] if b == 5000}
 
 
+@pytest.mark.parametrize("common", [0, 50_000])
+def test_crowds_need_no_candidates(spark, monkeypatch, common):
+    """Texts around a shared passage, some with near copies: all links are found without a single pair from the sorted orders."""
+    rng = random.Random(16)
+    w = vocabulary(rng, 2000)
+    passage, rows = [rng.choice(w) for _ in range(120)], []
+    for i in range(90):
+        own = passage + [rng.choice(w) for _ in range(rng.randint(10, 60))]
+        rows.append((2 * i, " ".join(own)))
+        if i % 3 == 0:
+            own[rng.randrange(len(own))] = "other"
+            rows.append((2 * i + 1, " ".join([*own, "end"])))
+    whole = near_dedup.pairs_and_crowd
+    monkeypatch.setattr(near_dedup, "pairs_and_crowd", lambda *a: (whole(*a)[0].where("false"), whole(*a)[1]))
+    monkeypatch.setattr(near_dedup, "COMMON", common)
+    got = near_dedup.classify(spark.createDataFrame(rows, "doc_id long, text string"), size=2).collect()
+    assert multiset((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got) == linked(rows, 2, 80)
+
+
 @pytest.mark.parametrize("few", [100_000, 20, 0])
 def test_components(spark, monkeypatch, few):
     monkeypatch.setattr(near_dedup, "FEW_EDGES", few)
