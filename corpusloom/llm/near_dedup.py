@@ -18,6 +18,7 @@
    components that are still apart, all others.
 5. What crowded regions leave out is found exactly: all their classes meet in a prefix join on full sets. Of n shingles
    ordered from rare to common, two sets that are similar share one of their first n - ceil(n * percent / 100) + 1.
+   For a pair, whose least overlap o follows from both sizes, the shared one is among the first n - o + 1 of each.
    Only classes of different components meet, and not those of a shingle's largest component among themselves, so a
    group that hangs together already costs its size. Any order gives the same links; COMMON shingles, counted roughly,
    stand last, which keeps passages that many documents share out of the join.
@@ -51,7 +52,7 @@ CONTEXT, HALO, CROWDED = 8, 24, (2, 3, 4)
 FEW, FEW_EDGES, COPY_PAIRS = 50_000, 100_000, 64
 
 #: Shingles counted at a time; times that one must be met in them to count as common; common ones that are put in order.
-COUNTED, OFTEN, COMMON = 500_000, 3, 50_000
+COUNTED, OFTEN, COMMON = 500_000, 2, 50_000
 
 _rng = np.random.default_rng(20240229)
 _MUL = _rng.integers(0, 2**63, N_HASH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -442,7 +443,7 @@ def _common(size: int):
     return run
 
 
-_POSTINGS = "h long, id long, key long, l_id long, l_key long, l_size long, n long"
+_POSTINGS = "h long, id long, key long, l_id long, l_key long, l_size long, n long, place long"
 
 
 def _prefixes(size: int, percent: int, common: np.ndarray):
@@ -464,7 +465,7 @@ def _prefixes(size: int, percent: int, common: np.ndarray):
             times = [len(x) for x in h]
             rows = np.repeat(np.arange(len(n)), times)
             if len(rows):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h)), *(batch.column(i).take(pa.array(rows)) for i in range(5)), pa.array(np.repeat(n, times))], ["h", "id", "key", "l_id", "l_key", "l_size", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h)), *(batch.column(i).take(pa.array(rows)) for i in range(5)), pa.array(np.repeat(n, times)), pa.array(np.concatenate([np.arange(k) for k in times]))], [c.split(" ")[0] for c in _POSTINGS.split(", ")])
 
     return run
 
@@ -483,17 +484,19 @@ def _unequal(k: int):
 
 def left_apart(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """a, b: all pairs of members (node, sketch, label) of different labels that may be similar; texts: node, text."""
-    sizes = members.groupBy("label").count()
+    sizes = _small(cut(members.groupBy("label").count()))
     rows = cut(members.join(sizes, "label").select("node", "label", F.col("count").alias("l_size")).join(texts, "node").select("node.id", "node.key", F.col("label.id").alias("l_id"), F.col("label.key").alias("l_key"), "l_size", "text"))
     often = rows.select("text").mapInArrow(lean(_common(size)), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(COMMON)
     common = np.array([r["h"] for r in often.collect()][::-1], np.int64).view(np.uint64)
     postings = cut(rows.mapInArrow(lean(_prefixes(size, percent, common)), _POSTINGS))
     label = F.struct("l_id", "l_key")
     mixed = postings.groupBy("h").agg(F.max(F.struct("l_size", "l_id", "l_key")).alias("top"), F.min(label).alias("lo"), F.max(label).alias("hi")).where("lo != hi").select("h", F.struct("top.l_id", "top.l_key").alias("top"))
-    some = postings.join(mixed, "h").select("h", F.struct("id", "key").alias("node"), label.alias("label"), "n", (label != F.col("top")).alias("asks"))
+    some = postings.join(mixed, "h").select("h", F.struct("id", "key").alias("node"), label.alias("label"), "n", "place", (label != F.col("top")).alias("asks"))
     some = cut(some.join(members.select("node", *[_quarter(k) for k in range(4)]), "node"))
     a, b = some.where("asks").alias("a"), some.alias("b")
+    overlap = F.ceil((F.col("a.n") + F.col("b.n")) * percent / (100 + percent) - 1e-6)
     near = (F.col("a.label") != F.col("b.label")) & (~F.col("b.asks") | (F.col("a.node") < F.col("b.node"))) & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)
+    near &= (F.col("a.place") <= F.col("a.n") - overlap) & (F.col("b.place") <= F.col("b.n") - overlap)
     met = a.join(b, (F.col("a.h") == F.col("b.h")) & near & (sum((_unequal(k) for k in range(1, 4)), _unequal(0)) <= N_HASH - least_matches(percent)))
     return met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
 
