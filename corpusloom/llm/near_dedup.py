@@ -595,11 +595,11 @@ def classify(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     classes = cut(signed.where(linkable).groupBy("d1", "d2").agg(F.min(node).alias("node"), F.first("sig").alias("sig")))
     pairs, crowd = (cut(x) for x in pairs_and_crowd(classes.select(F.col("node.id").alias("doc_id"), F.col("node.key").alias("tkey"), "sig"), percent))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(crowd.select("node")).distinct()
-    texts = cut(rows.where(F.col("doc_id").isNotNull()).select(node.alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node"]))
     ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p"), "score")
-    best = ends.groupBy("p.x").agg(F.max(F.struct("score", F.col("p.y"))).alias("m")).select(F.least("x", "m.y").alias("a"), F.greatest("x", "m.y").alias("b")).distinct()
-    best = cut(best)
+    partners = cut(ends.groupBy("p.x").agg(F.max(F.struct("score", F.col("p.y"))).alias("m")).select("x", "m.y"))
+    wanted = partners.select(F.col("x").alias("node")).union(crowd.select("node")).distinct()
+    texts = cut(rows.where(F.col("doc_id").isNotNull()).select(node.alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    best = cut(partners.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     first = _small(cut(components(confirm(best, texts, size, percent))))
     apart = _labelled(pairs.join(best, ["a", "b"], "left_anti"), first).where("a_label != b_label")
     more = confirm(cut(apart.select("a", "b")), texts, size, percent)
