@@ -20,8 +20,9 @@
    ordered from rare to common, two sets that are similar share one of their first n - ceil(n * percent / 100) + 1.
    For a pair, whose least overlap o follows from both sizes, the shared one is among the first n - o + 1 of each.
    Only classes of different components meet, and not those of a shingle's largest component among themselves, so a
-   group that hangs together already costs its size. Any order gives the same links; COMMON shingles, counted roughly,
-   stand last, which keeps passages that many documents share out of the join.
+   group that hangs together already costs its size. Any order gives the same links; all shingles
+   are counted and ordered by COMMON rough counters, whatever the corpus, so that passages which many documents share
+   stand last and stay out of the join.
 6. Components: nodes take a neighbour as label and edges are renamed, until few enough for one task.
 
 Defined cases: a null or blank text has an empty set and is linked with nothing; a text of fewer
@@ -51,8 +52,8 @@ CONTEXT, HALO, CROWDED = 8, 24, (2, 3, 4)
 #: Rows of small tables (regions, hubs, labels) up to which they are broadcast; edges up to which one task unites them; pairs of one class for each copy of its text.
 FEW, FEW_EDGES, COPY_PAIRS = 50_000, 100_000, 64
 
-#: Shingles counted at a time; times that one must be met in them to count as common; common ones that are put in order.
-COUNTED, OFTEN, COMMON = 500_000, 2, 50_000
+#: Shingles counted at a time; values that they are told apart by while counted; counters, of one byte each, that order them.
+COUNTED, COUNTS, COMMON = 500_000, 2**28, 2**20
 
 _rng = np.random.default_rng(20240229)
 _MUL = _rng.integers(0, 2**63, N_HASH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -422,11 +423,11 @@ def pairs_and_crowd(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFr
 
 
 def _common(size: int):
-    """Shingles that COUNTED ones in a row hold OFTEN times or more, and how often; what is counted decides an order, not a result."""
+    """Shingles among COUNTED ones in a row, modulo COUNTS, and how often they are there; counts decide an order, not a result."""
 
     def counted(sets):
-        h, n = np.unique(np.concatenate(sets), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(h[n >= OFTEN].view(np.int64)), pa.array(n[n >= OFTEN])], ["h", "n"])
+        h, n = np.unique((np.concatenate(sets) % np.uint64(COUNTS)).astype(np.int32), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], ["h", "n"])
 
     def run(batches):
         sets, held = [], 0
@@ -443,23 +444,36 @@ def _common(size: int):
     return run
 
 
+def _packed(batches):
+    """Counters and the ranks of their counts, eight to each doubling, as bytes."""
+    for batch in batches:
+        rank = np.minimum(255, 8 * np.log2(1 + batch.column(1).to_numpy())).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).to_numpy().astype("<i4").tobytes()]), pa.array([rank.tobytes()])], ["at", "rank"])
+
+
+def _ranks(texts: DataFrame, size: int) -> np.ndarray:
+    """COMMON counters: the rank of the commonest shingle of each."""
+    ranks = np.zeros(COMMON, np.uint8)
+    if COMMON:
+        counts = texts.select("text").mapInArrow(lean(_common(size)), "h int, n long").groupBy("h").agg(F.sum("n").alias("n"))
+        most = counts.groupBy(F.pmod("h", F.lit(COMMON)).alias("at")).agg(F.max("n").alias("n"))
+        for r in most.mapInArrow(_packed, "at binary, rank binary").collect():  # five bytes a counter at most
+            ranks[np.frombuffer(r["at"], "<i4")] = np.frombuffer(r["rank"], np.uint8)
+    return ranks
+
+
 _POSTINGS = "h long, id long, key long, l_id long, l_key long, l_size long, n long, place long"
 
 
-def _prefixes(size: int, percent: int, common: np.ndarray):
-    """A row for each shingle of a set's prefix; common: shingles from the rarest to the commonest."""
-    at = np.argsort(common)
-    known = common[at]
+def _prefixes(size: int, percent: int, ranks: np.ndarray):
+    """A row for each shingle of a set's prefix, from the lowest rank to the highest."""
 
     def run(batches):
         for batch in batches:
             h, n = [], []
             for text in batch.column(5):
                 s = shingles(text.as_py() or "", size)
-                rank = np.full(len(s), -1)
-                if len(known):
-                    k = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                    rank = np.where(known[k] == s, at[k], -1)
+                rank = ranks[(s % np.uint64(COUNTS) % np.uint64(len(ranks))).astype(np.int64)] if len(ranks) else np.zeros(len(s), np.uint8)
                 h.append(s[np.lexsort((s, rank))[: len(s) - (len(s) * percent + 99) // 100 + 1]].view(np.int64))
                 n.append(len(s))
             times = [len(x) for x in h]
@@ -486,9 +500,7 @@ def left_apart(members: DataFrame, texts: DataFrame, size: int, percent: int) ->
     """a, b: all pairs of members (node, sketch, label) of different labels that may be similar; texts: node, text."""
     sizes = _small(cut(members.groupBy("label").count()))
     rows = cut(members.join(sizes, "label").select("node", "label", F.col("count").alias("l_size")).join(texts, "node").select("node.id", "node.key", F.col("label.id").alias("l_id"), F.col("label.key").alias("l_key"), "l_size", "text"))
-    often = rows.select("text").mapInArrow(lean(_common(size)), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(COMMON)
-    common = np.array([r["h"] for r in often.collect()][::-1], np.int64).view(np.uint64)
-    postings = cut(rows.mapInArrow(lean(_prefixes(size, percent, common)), _POSTINGS))
+    postings = cut(rows.mapInArrow(lean(_prefixes(size, percent, _ranks(rows, size))), _POSTINGS))
     label = F.struct("l_id", "l_key")
     mixed = postings.groupBy("h").agg(F.max(F.struct("l_size", "l_id", "l_key")).alias("top"), F.min(label).alias("lo"), F.max(label).alias("hi")).where("lo != hi").select("h", F.struct("top.l_id", "top.l_key").alias("top"))
     some = postings.join(mixed, "h").select("h", F.struct("id", "key").alias("node"), label.alias("label"), "n", "place", (label != F.col("top")).alias("asks"))
