@@ -462,24 +462,18 @@ def _ranks(texts: DataFrame, size: int) -> np.ndarray:
     return ranks
 
 
-_POSTINGS = "h long, id long, key long, l_id long, l_key long, l_size long, n long, place long"
-
-
 def _prefixes(size: int, percent: int, ranks: np.ndarray):
-    """A row for each shingle of a set's prefix, from the lowest rank to the highest."""
+    """id, key, n, prefix: a set's size and its prefix, from the lowest rank to the highest."""
 
     def run(batches):
         for batch in batches:
             h, n = [], []
-            for text in batch.column(5):
+            for text in batch.column(2):
                 s = shingles(text.as_py() or "", size)
                 rank = ranks[(s % np.uint64(COUNTS) % np.uint64(len(ranks))).astype(np.int64)] if len(ranks) else np.zeros(len(s), np.uint8)
                 h.append(s[np.lexsort((s, rank))[: len(s) - (len(s) * percent + 99) // 100 + 1]].view(np.int64))
                 n.append(len(s))
-            times = [len(x) for x in h]
-            rows = np.repeat(np.arange(len(n)), times)
-            if len(rows):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h)), *(batch.column(i).take(pa.array(rows)) for i in range(5)), pa.array(np.repeat(n, times)), pa.array(np.concatenate([np.arange(k) for k in times]))], [c.split(" ")[0] for c in _POSTINGS.split(", ")])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(h, pa.list_(pa.int64()))], ["id", "key", "n", "prefix"])
 
     return run
 
@@ -497,14 +491,15 @@ def _unequal(k: int):
 
 
 def left_apart(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """a, b: all pairs of members (node, sketch, label) of different labels that may be similar; texts: node, text."""
+    """a, b: all pairs of members (node, sketch, label) of different labels that may be similar; texts: node, text of the members."""
     sizes = _small(cut(members.groupBy("label").count()))
-    rows = cut(members.join(sizes, "label").select("node", "label", F.col("count").alias("l_size")).join(texts, "node").select("node.id", "node.key", F.col("label.id").alias("l_id"), F.col("label.key").alias("l_key"), "l_size", "text"))
-    postings = cut(rows.mapInArrow(lean(_prefixes(size, percent, _ranks(rows, size))), _POSTINGS))
-    label = F.struct("l_id", "l_key")
-    mixed = postings.groupBy("h").agg(F.max(F.struct("l_size", "l_id", "l_key")).alias("top"), F.min(label).alias("lo"), F.max(label).alias("hi")).where("lo != hi").select("h", F.struct("top.l_id", "top.l_key").alias("top"))
-    some = postings.join(mixed, "h").select("h", F.struct("id", "key").alias("node"), label.alias("label"), "n", "place", (label != F.col("top")).alias("asks"))
-    some = cut(some.join(members.select("node", *[_quarter(k) for k in range(4)]), "node"))
+    known = members.join(sizes, "label").select("node", "label", F.col("count").alias("l_size"), *[_quarter(k) for k in range(4)])
+    prefixes = texts.select("node.id", "node.key", "text").mapInArrow(lean(_prefixes(size, percent, _ranks(texts, size))), "id long, key long, n long, prefix array<long>")
+    rows = cut(prefixes.select(F.struct("id", "key").alias("node"), "n", "prefix").join(known, "node"))
+    top = rows.select(F.explode("prefix").alias("h"), "label", "l_size").groupBy("h").agg(F.max(F.struct("l_size", "label")).alias("top"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    mixed = top.where("lo != hi").select("h", F.col("top.label").alias("top"))
+    postings = rows.select(F.posexplode("prefix").alias("place", "h"), "node", "label", "n", *[f"s{k}" for k in range(4)])
+    some = cut(postings.join(mixed, "h").withColumn("asks", F.col("label") != F.col("top")).drop("top"))
     a, b = some.where("asks").alias("a"), some.alias("b")
     overlap = F.ceil((F.col("a.n") + F.col("b.n")) * percent / (100 + percent) - 1e-6)
     near = (F.col("a.label") != F.col("b.label")) & (~F.col("b.asks") | (F.col("a.node") < F.col("b.node"))) & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)
@@ -609,8 +604,8 @@ def classify(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     pairs, crowd = (cut(x) for x in pairs_and_crowd(classes.select(F.col("node.id").alias("doc_id"), F.col("node.key").alias("tkey"), "sig"), percent))
     ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p"), "score")
     partners = cut(ends.groupBy("p.x").agg(F.max(F.struct("score", F.col("p.y"))).alias("m")).select("x", "m.y"))
-    wanted = partners.select(F.col("x").alias("node")).union(crowd.select("node")).distinct()
-    texts = cut(rows.where(F.col("doc_id").isNotNull()).select(node.alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    wanted = partners.select(F.col("x").alias("node"), F.lit(False).alias("crowded")).union(crowd.select("node", F.lit(True))).groupBy("node").agg(F.max("crowded").alias("crowded"))
+    texts = cut(rows.where(F.col("doc_id").isNotNull()).select(node.alias("node"), "text").join(wanted, "node").dropDuplicates(["node"]))
     best = cut(partners.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     first = _small(cut(components(confirm(best, texts, size, percent))))
     apart = _labelled(pairs.join(best, ["a", "b"], "left_anti"), first).where("a_label != b_label")
@@ -620,7 +615,7 @@ def classify(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     named = _renamed(_renamed(classes.select("d1", "d2", "node", F.col("node").alias("label")), first), second)
     if not crowd.isEmpty():
         members = cut(_renamed(_renamed(crowd.select("node", "sketch", F.col("node").alias("label")), first), second))
-        rest = confirm(cut(left_apart(members, texts, size, percent)), texts, size, percent)
+        rest = confirm(cut(left_apart(members, texts.where("crowded").select("node", "text"), size, percent)), texts, size, percent)
         between = rest.join(members.select(F.col("node").alias("a"), F.col("label").alias("a_label")), "a").join(members.select(F.col("node").alias("b"), F.col("label").alias("b_label")), "b")
         named = _renamed(named, _small(cut(components(between.select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).distinct()))))
     named = named.select("d1", "d2", F.col("label.id").alias("component_id"))
