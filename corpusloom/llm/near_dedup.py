@@ -16,13 +16,13 @@
 4. A candidate must agree in enough minima for the similarity asked for; it is confirmed on full
    shingle sets made from whole texts. First each class's most similar partner; then, between
    components that are still apart, all others.
-5. What crowded regions leave out is found exactly: all their classes meet in a prefix join on full sets. Of n shingles
+5. What the sorted orders leave out is found exactly: all classes meet in a prefix join on full sets. Of n shingles
    ordered from rare to common, two sets that are similar share one of their first n - ceil(n * percent / 100) + 1.
    For a pair, whose least overlap o follows from both sizes, the shared one is among the first n - o + 1 of each.
-   Only classes of different components meet, and not those of a shingle's largest component among themselves, so a
-   group that hangs together already costs its size. Any order gives the same links; all shingles
-   are counted and ordered by COMMON rough counters, whatever the corpus, so that passages which many documents share
-   stand last and stay out of the join.
+   Only classes of different components meet, so a group that hangs together costs its size. Any order gives the same
+   links; shingles are ordered by COMMON rough counters, so that those which many documents share stand last and stay out
+   of the join. Texts stay where they are: a class goes to the join as packed hashes of its prefix, and only the pairs met
+   there that agree in some minima (``surely_matches``) ask for texts.
 6. Components: nodes take a neighbour as label and edges are renamed, until few enough for one task.
 
 Defined cases: a null or blank text has an empty set and is linked with nothing; a text of fewer
@@ -33,6 +33,7 @@ read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,8 +53,8 @@ CONTEXT, HALO, CROWDED = 8, 24, (2, 3, 4)
 #: Rows of small tables (regions, hubs, labels) up to which they are broadcast; edges up to which one task unites them; pairs of one class for each copy of its text.
 FEW, FEW_EDGES, COPY_PAIRS = 50_000, 100_000, 64
 
-#: Shingles counted at a time; values that they are told apart by while counted; counters, of one byte each, that order them.
-COUNTED, COUNTS, COMMON = 500_000, 2**28, 2**20
+#: Shingles counted at a time; counters that order shingles, and how many of them are in a row; postings of a bucket; pairs compared at a time.
+COUNTED, COMMON, SLICE, BUCKET, AT_ONCE = 500_000, 2**22, 2**16, 2**20, 2**22
 
 _rng = np.random.default_rng(20240229)
 _MUL = _rng.integers(0, 2**63, N_HASH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -93,8 +94,16 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both) and both > 0
 
 
-def _signed(size: int):
+def _signed(size: int, common: int):
+    """A row for each row; then, as rows of n_shingles -1 with the slice's number as d1, how often each of ``common`` counters was met."""
+
     def run(batches):
+        counts, sets, held = np.zeros(common, np.uint32), [], 0
+
+        def count():
+            np.add(counts, np.bincount((np.concatenate(sets) % np.uint64(common)).astype(np.int64), minlength=common), out=counts, casting="unsafe")
+            sets.clear()
+
         for batch in batches:
             n, d1, d2, sig = [], [], [], []
             for text in batch.column(2):
@@ -104,8 +113,22 @@ def _signed(size: int):
                 d1.append(int.from_bytes(digest[:8], "little", signed=True))
                 d2.append(int.from_bytes(digest[8:], "little", signed=True))
                 sig.append(signature(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(sig, pa.binary())], ["doc_id", "tkey", "n_shingles", "d1", "d2", "sig"])
-
+                if common:
+                    sets.append(s)
+                    held += len(s)
+                    if held >= COUNTED:
+                        count()
+                        held = 0
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(sig, pa.binary())], names)
+        if sets:
+            count()
+        at = [k for k in range(-(-common // SLICE)) if counts[k * SLICE : (k + 1) * SLICE].any()]
+        if at:
+            none = pa.nulls(len(at), pa.int64())
+            parts = [zlib.compress(counts[k * SLICE : (k + 1) * SLICE].astype("<u4").tobytes(), 1) for k in at]
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(np.full(len(at), -1)), pa.array(at, pa.int64()), none, pa.array(parts, pa.binary())], names)
+
+    names = ["doc_id", "tkey", "n_shingles", "d1", "d2", "sig"]
     return run
 
 
@@ -366,6 +389,12 @@ def least_matches(percent: int) -> int:
     return int(N_HASH * p - 4.3 * (N_HASH * p * (1 - p)) ** 0.5)
 
 
+def surely_matches(percent: int) -> int:
+    """Minima that a pair at the limit exceeds but for a chance of about 1e-14, less than that of two sets with one digest in a large corpus."""
+    p = percent / 100 + (1 - percent / 100) / 16
+    return max(0, int(N_HASH * p - 9 * (N_HASH * p * (1 - p)) ** 0.5))
+
+
 def _node(prefix: str):
     return F.struct(F.col(f"{prefix}_id").alias("id"), F.col(f"{prefix}_key").alias("key"))
 
@@ -422,95 +451,180 @@ def pairs_and_crowd(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFr
     return pairs, crowd.groupBy(F.struct("id", "key").alias("node")).agg(F.first("sketch").alias("sketch"))
 
 
-def _common(size: int):
-    """Shingles among COUNTED ones in a row, modulo COUNTS, and how often they are there; counts decide an order, not a result."""
+def _summed(batches):
+    """Slices of counters from all tasks. The ranks of their sums, eight to each doubling, as bytes."""
+    sums = {}
+    for batch in batches:
+        for at, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            counts = np.frombuffer(zlib.decompress(part.as_py()), "<u4").astype(np.int64)
+            sums[at] = sums[at] + counts if at in sums else counts
+    for at, counts in sums.items():
+        yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([np.minimum(255, 8 * np.log2(1 + counts)).astype(np.uint8).tobytes()])], ["at", "rank"])
+
+
+def _ranks(parts: DataFrame, common: int) -> np.ndarray:
+    """The rank of each counter; parts: at, part. One byte a counter reaches the driver."""
+    ranks = np.zeros(common, np.uint8)
+    for r in parts.repartition(shuffle_partitions(parts.sparkSession), "at").mapInArrow(lean(_summed), "at long, rank binary").collect():
+        ranks[r["at"] * SLICE : (r["at"] + 1) * SLICE] = np.frombuffer(r["rank"], np.uint8)
+    return ranks
 
-    def counted(sets):
-        h, n = np.unique((np.concatenate(sets) % np.uint64(COUNTS)).astype(np.int32), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], ["h", "n"])
+
+def _prefixes(size: int, percent: int, ranks: np.ndarray):
+    """id, key, n, prefix: six bytes of each shingle of a set's prefix, from the lowest rank to the highest."""
 
     def run(batches):
-        sets, held = [], 0
         for batch in batches:
-            for text in batch.column(0):
-                sets.append(shingles(text.as_py() or "", size))
-                held += len(sets[-1])
-                if held >= COUNTED:
-                    yield counted(sets)
-                    sets, held = [], 0
-        if sets:
-            yield counted(sets)
+            n, prefix = [], []
+            for text in batch.column(2):
+                s = shingles(text.as_py() or "", size)
+                order = np.argsort(ranks[(s % np.uint64(len(ranks))).astype(np.int64)], kind="stable") if len(ranks) else np.arange(len(s))
+                first = s[order[: len(s) - (len(s) * percent + 99) // 100 + 1]].astype("<u8")
+                n.append(len(s))
+                prefix.append(first.view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(prefix, pa.binary())], ["id", "key", "n", "prefix"])
 
     return run
 
 
-def _packed(batches):
-    """Counters and the ranks of their counts, eight to each doubling, as bytes."""
-    for batch in batches:
-        rank = np.minimum(255, 8 * np.log2(1 + batch.column(1).to_numpy())).astype(np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).to_numpy().astype("<i4").tobytes()]), pa.array([rank.tobytes()])], ["at", "rank"])
-
-
-def _ranks(texts: DataFrame, size: int) -> np.ndarray:
-    """COMMON counters: the rank of the commonest shingle of each."""
-    ranks = np.zeros(COMMON, np.uint8)
-    if COMMON:
-        counts = texts.select("text").mapInArrow(lean(_common(size)), "h int, n long").groupBy("h").agg(F.sum("n").alias("n"))
-        most = counts.groupBy(F.pmod("h", F.lit(COMMON)).alias("at")).agg(F.max("n").alias("n"))
-        for r in most.mapInArrow(_packed, "at binary, rank binary").collect():  # five bytes a counter at most
-            ranks[np.frombuffer(r["at"], "<i4")] = np.frombuffer(r["rank"], np.uint8)
-    return ranks
+_POSTING = (("h", 6), ("num", 8), ("label", 8), ("n", 4), ("place", 4))
 
 
-_POSTINGS = "h long, id long, key long, l_id long, l_key long, l_size long, n long, place long"
+def _pack(postings: dict[str, np.ndarray]) -> bytes:
+    """Numbers as steps, labels as what differs from the number (mostly nothing); bytes of one weight side by side."""
+    num = postings["num"]
+    rows = postings | {"num": np.diff(num, prepend=0), "label": postings["label"] ^ num}
+    planes = [rows[c].astype("<i8").view(np.uint8).reshape(-1, 8)[:, :k].T.tobytes() for c, k in _POSTING]
+    return zlib.compress(b"".join(planes), 1)
 
 
-def _prefixes(size: int, percent: int, ranks: np.ndarray):
-    """A row for each shingle of a set's prefix, from the lowest rank to the highest."""
+def _unpack(parts: list[bytes]) -> dict[str, np.ndarray]:
+    found = {c: [] for c, _ in _POSTING}
+    for part in parts:
+        planes = np.frombuffer(zlib.decompress(part), np.uint8).reshape(sum(k for _, k in _POSTING), -1)
+        at, rows = 0, {}
+        for c, k in _POSTING:
+            whole = np.zeros((planes.shape[1], 8), np.uint8)
+            whole[:, :k] = planes[at : at + k].T
+            at, rows[c] = at + k, whole.view("<i8")[:, 0]
+        num = np.cumsum(rows["num"])
+        for c, x in (rows | {"num": num, "label": rows["label"] ^ num}).items():
+            found[c].append(x)
+    return {c: np.concatenate(x) for c, x in found.items()}
+
+
+def _dealt(buckets: int):
+    """num, label, n, prefix of classes. Their postings, packed by bucket."""
 
     def run(batches):
         for batch in batches:
-            h, n = [], []
-            for text in batch.column(5):
-                s = shingles(text.as_py() or "", size)
-                rank = ranks[(s % np.uint64(COUNTS) % np.uint64(len(ranks))).astype(np.int64)] if len(ranks) else np.zeros(len(s), np.uint8)
-                h.append(s[np.lexsort((s, rank))[: len(s) - (len(s) * percent + 99) // 100 + 1]].view(np.int64))
-                n.append(len(s))
-            times = [len(x) for x in h]
-            rows = np.repeat(np.arange(len(n)), times)
-            if len(rows):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h)), *(batch.column(i).take(pa.array(rows)) for i in range(5)), pa.array(np.repeat(n, times)), pa.array(np.concatenate([np.arange(k) for k in times]))], [c.split(" ")[0] for c in _POSTINGS.split(", ")])
+            prefixes = [x.as_py() for x in batch.column(3)]
+            times = np.array([len(x) // 6 for x in prefixes], np.int64)
+            if not times.sum():
+                continue
+            whole = np.zeros((int(times.sum()), 8), np.uint8)
+            whole[:, :6] = np.frombuffer(b"".join(prefixes), np.uint8).reshape(-1, 6)
+            num, label, n = (np.repeat(batch.column(i).to_numpy(), times) for i in range(3))
+            rows = {"h": whole.view("<i8")[:, 0], "num": num, "label": label, "n": n, "place": np.arange(len(n)) - np.repeat(np.cumsum(times) - times, times)}
+            bucket = (rows["h"] >> 24) % buckets
+            order = np.argsort(bucket, kind="stable")
+            rows, bucket = {c: x[order] for c, x in rows.items()}, bucket[order]
+            begins = np.flatnonzero(np.diff(bucket, prepend=-1))
+            parts = [_pack({c: x[a:b] for c, x in rows.items()}) for a, b in zip(begins, np.append(begins[1:], len(bucket)), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[begins]), pa.array(parts, pa.binary())], ["bucket", "part"])
 
     return run
 
 
-def _quarter(k: int):
-    """16 four-bit minima of a sketch as a long."""
-    return F.conv(F.hex(F.substring("sketch", 8 * k + 1, 8)), 16, -10).cast("long").alias(f"s{k}")
+def _cross(p: dict[str, np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers a < b of classes with different labels that share a shingle where similar sets of their sizes may have it first."""
+    order = np.lexsort((p["label"], p["h"]))
+    p = {c: x[order] for c, x in p.items()}
+    begins = np.flatnonzero(np.append(True, p["h"][1:] != p["h"][:-1]))
+    ends = np.append(begins[1:], len(order))
+    mixed = p["label"][begins] != p["label"][ends - 1]
+    if not mixed.any():
+        return
+    keep = np.repeat(mixed, ends - begins)
+    lengths = (ends - begins)[mixed]
+    p = {c: x[keep] for c, x in p.items()}
+    end = np.repeat(np.cumsum(lengths), lengths)
+    runs = np.flatnonzero(np.append(True, (p["label"][1:] != p["label"][:-1]) | (p["h"][1:] != p["h"][:-1])))
+    run_ends = np.append(runs[1:], len(end))
+    behind = np.repeat(run_ends, run_ends - runs)
+    others = end - behind  # rows of the same shingle behind the row's own label
+    total = np.cumsum(others)
+    at = 0
+    while at < len(end):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + AT_ONCE, "right")))
+        times = others[at:to]
+        i = np.repeat(np.arange(at, to), times)
+        j = np.repeat(behind[at:to], times) + np.arange(len(i)) - np.repeat(np.cumsum(times) - times, times)
+        n, m = p["n"][i], p["n"][j]
+        overlap = -(-(n + m) * percent // (100 + percent))
+        ok = (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent) & (p["place"][i] <= n - overlap) & (p["place"][j] <= m - overlap)
+        a, b = p["num"][i[ok]], p["num"][j[ok]]
+        a, b = np.minimum(a, b), np.maximum(a, b)
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])) if len(a) else np.zeros(0, bool)
+        yield a[new], b[new]
+        at = to
+
+
+def _meeting(percent: int):
+    """Packed postings come sorted by bucket. Pairs that may be similar."""
+
+    def met(parts):
+        for a, b in _cross(_unpack(parts), percent):
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    def run(batches):
+        at, parts = None, []
+        for batch in batches:
+            for bucket, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if bucket != at and parts:
+                    yield from met(parts)
+                    parts = []
+                at = bucket
+                parts.append(part.as_py())
+        if parts:
+            yield from met(parts)
+
+    return run
 
 
-def _unequal(k: int):
-    """How many of 16 four-bit minima of a and b differ."""
-    x = F.col(f"a.s{k}").bitwiseXOR(F.col(f"b.s{k}"))
-    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-    return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111)))
+def _agreeing(least: int):
+    """Pairs of nodes whose signatures agree in enough minima."""
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.select([0, 1, 2, 3]).filter(pa.array(_matches(_bytes(batch.column(4)), _bytes(batch.column(5))) >= least))
+
+    return run
+
+
+def _sketched(batches):
+    for batch in batches:
+        if batch.num_rows:
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), _binary(_sketches(batch.column(3)))], ["num", "id", "key", "sketch"])
 
 
-def left_apart(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """a, b: all pairs of members (node, sketch, label) of different labels that may be similar; texts: node, text."""
-    sizes = _small(cut(members.groupBy("label").count()))
-    rows = cut(members.join(sizes, "label").select("node", "label", F.col("count").alias("l_size")).join(texts, "node").select("node.id", "node.key", F.col("label.id").alias("l_id"), F.col("label.key").alias("l_key"), "l_size", "text"))
-    postings = cut(rows.mapInArrow(lean(_prefixes(size, percent, _ranks(rows, size))), _POSTINGS))
-    label = F.struct("l_id", "l_key")
-    mixed = postings.groupBy("h").agg(F.max(F.struct("l_size", "l_id", "l_key")).alias("top"), F.min(label).alias("lo"), F.max(label).alias("hi")).where("lo != hi").select("h", F.struct("top.l_id", "top.l_key").alias("top"))
-    some = postings.join(mixed, "h").select("h", F.struct("id", "key").alias("node"), label.alias("label"), "n", "place", (label != F.col("top")).alias("asks"))
-    some = cut(some.join(members.select("node", *[_quarter(k) for k in range(4)]), "node"))
-    a, b = some.where("asks").alias("a"), some.alias("b")
-    overlap = F.ceil((F.col("a.n") + F.col("b.n")) * percent / (100 + percent) - 1e-6)
-    near = (F.col("a.label") != F.col("b.label")) & (~F.col("b.asks") | (F.col("a.node") < F.col("b.node"))) & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)
-    near &= (F.col("a.place") <= F.col("a.n") - overlap) & (F.col("b.place") <= F.col("b.n") - overlap)
-    met = a.join(b, (F.col("a.h") == F.col("b.h")) & near & (sum((_unequal(k) for k in range(1, 4)), _unequal(0)) <= N_HASH - least_matches(percent)))
-    return met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
+def left_apart(members: DataFrame, rows: DataFrame, ranks: np.ndarray, postings: int, size: int, percent: int) -> DataFrame:
+    """a, b: all pairs of members (num, node, label, sig) of different labels that may be similar; rows: doc_id, tkey, text; postings: about how many."""
+    n = shuffle_partitions(members.sparkSession)
+    own = members.select(F.col("node.id").alias("id"), F.col("node.key").alias("key"), "num", F.col("label").alias("node"))
+    own = own.join(members.select("node", F.col("num").alias("l_num")), "node").select("id", "key", "num", "l_num")
+    prefixes = rows.select("doc_id", "tkey", "text").mapInArrow(lean(_prefixes(size, percent, ranks)), "id long, key long, n long, prefix binary")
+    dealt = prefixes.join(own, ["id", "key"]).select("num", "l_num", "n", "prefix").mapInArrow(lean(_dealt(max(2 * n, -(-postings // BUCKET)))), "bucket long, part binary")
+    met = cut(dealt.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(lean(_meeting(percent)), "a long, b long").distinct())
+    sketches = cut(members.select("num", "node.id", "node.key", "sig").mapInArrow(lean(_sketched), "num long, id long, key long, sketch binary"))
+    of = lambda c: sketches.select(F.col("num").alias(c), F.col("id").alias(f"{c}_id"), F.col("key").alias(f"{c}_key"), F.col("sketch").alias(f"{c}_sketch"))
+    both = met.join(of("a"), "a").join(of("b"), "b").select("a_id", "a_key", "b_id", "b_key", "a_sketch", "b_sketch")
+    near = both.mapInArrow(lean(_agreeing(surely_matches(percent))), "a_id long, a_key long, b_id long, b_key long")
+    return near.select(F.least(_node("a"), _node("b")).alias("a"), F.greatest(_node("a"), _node("b")).alias("b"))
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -602,27 +716,31 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 def classify(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, tkey, n_shingles, component_id, kept: a row for each row of ``docs``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(F.col("text")).alias("tkey"), F.col("text").alias("text"))
-    signed = cut(rows.mapInArrow(lean(_signed(size)), "doc_id long, tkey long, n_shingles long, d1 long, d2 long, sig binary"))
-    node = F.struct(F.col("doc_id").alias("id"), F.col("tkey").alias("key"))
+    common = COMMON
+    told = cut(rows.mapInArrow(lean(_signed(size, common)), "doc_id long, tkey long, n_shingles long, d1 long, d2 long, sig binary"))
+    signed, node = told.where("n_shingles >= 0"), F.struct(F.col("doc_id").alias("id"), F.col("tkey").alias("key"))
     linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     classes = cut(signed.where(linkable).groupBy("d1", "d2").agg(F.min(node).alias("node"), F.first("sig").alias("sig")))
-    pairs, crowd = (cut(x) for x in pairs_and_crowd(classes.select(F.col("node.id").alias("doc_id"), F.col("node.key").alias("tkey"), "sig"), percent))
+    pairs = cut(pairs_and_crowd(classes.select(F.col("node.id").alias("doc_id"), F.col("node.key").alias("tkey"), "sig"), percent)[0])
     ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p"), "score")
     partners = cut(ends.groupBy("p.x").agg(F.max(F.struct("score", F.col("p.y"))).alias("m")).select("x", "m.y"))
-    wanted = partners.select(F.col("x").alias("node")).union(crowd.select("node")).distinct()
-    texts = cut(rows.where(F.col("doc_id").isNotNull()).select(node.alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    of = lambda wanted: cut(rows.where(F.col("doc_id").isNotNull()).select(node.alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    texts = of(partners.select(F.col("x").alias("node")))
     best = cut(partners.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     first = _small(cut(components(confirm(best, texts, size, percent))))
     apart = _labelled(pairs.join(best, ["a", "b"], "left_anti"), first).where("a_label != b_label")
     more = confirm(cut(apart.select("a", "b")), texts, size, percent)
     between = _labelled(more, first).select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).distinct()
     second = _small(cut(components(between)))
-    named = _renamed(_renamed(classes.select("d1", "d2", "node", F.col("node").alias("label")), first), second)
-    if not crowd.isEmpty():
-        members = cut(_renamed(_renamed(crowd.select("node", "sketch", F.col("node").alias("label")), first), second))
-        rest = confirm(cut(left_apart(members, texts, size, percent)), texts, size, percent)
-        between = rest.join(members.select(F.col("node").alias("a"), F.col("label").alias("a_label")), "a").join(members.select(F.col("node").alias("b"), F.col("label").alias("b_label")), "b")
-        named = _renamed(named, _small(cut(components(between.select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).distinct()))))
+    members = cut(_renamed(_renamed(classes.select("d1", "d2", "sig", "node", F.col("node").alias("label")), first), second).withColumn("num", F.monotonically_increasing_id()))
+    prefixes = signed.where(linkable).agg(F.sum(F.floor(F.col("n_shingles") * (100 - percent) / 100) + 1)).first()[0] or 0
+    ranks = _ranks(told.where("n_shingles < 0").select(F.col("d1").alias("at"), F.col("sig").alias("part")), common)
+    left = cut(left_apart(members, rows.where(F.col("doc_id").isNotNull()), ranks, int(prefixes), size, percent))
+    ends = cut(left.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    rest = confirm(left, of(_small(ends)), size, percent)
+    labels = members.select("node", "label").join(_small(ends), "node", "left_semi")
+    between = _labelled(rest, labels).select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).distinct()
+    named = _renamed(members.select("d1", "d2", "node", "label"), _small(cut(components(between))))
     named = named.select("d1", "d2", F.col("label.id").alias("component_id"))
     # rows that link with nothing need no join, so they do not meet in one task
     columns = ["doc_id", "tkey", "n_shingles", "component_id"]

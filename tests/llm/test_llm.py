@@ -422,6 +422,46 @@ def test_crowds_need_no_candidates(spark, monkeypatch, common):
     assert multiset((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got) == linked(rows, 2, 80)
 
 
+def test_links_need_neither_candidates_nor_crowds(spark, monkeypatch):
+    """Near copies outside any crowd are found without a single pair from the sorted orders."""
+    rng = random.Random(21)
+    w = vocabulary(rng, 3000)
+    rows = []
+    for i in range(60):
+        own = [rng.choice(w) for _ in range(rng.randint(3, 90))]
+        rows.append((3 * i, " ".join(own)))
+        if i % 2 == 0:
+            rows.append((3 * i + 1, " ".join([*own, "end"])))
+            rows.append((3 * i + 2, " ".join([own[0], *own, "end", "of", "it"])))
+    whole = near_dedup.pairs_and_crowd
+    monkeypatch.setattr(near_dedup, "pairs_and_crowd", lambda *a: tuple(x.where("false") for x in whole(*a)))
+    got = near_dedup.classify(spark.createDataFrame(rows, "doc_id long, text string"), size=2).collect()
+    want = linked(rows, 2, 80)
+    assert multiset((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got) == want
+    assert sum(not r["kept"] for r in got) > 30
+
+
+@pytest.mark.parametrize("at_once", [2**22, 3])
+def test_packed_postings_and_pairs_of_a_shingle(monkeypatch, at_once):
+    monkeypatch.setattr(near_dedup, "AT_ONCE", at_once)
+    rng = np.random.default_rng(22)
+    n = 400
+    num = np.sort(rng.integers(0, 2**40, n))
+    rows = {"h": rng.integers(0, 40, n), "num": num, "label": np.where(rng.random(n) < 0.5, num, num[0]), "n": rng.integers(8, 12, n), "place": rng.integers(0, 3, n)}
+    back = near_dedup._unpack([near_dedup._pack({c: x[a:b] for c, x in rows.items()}) for a, b in ((0, 150), (150, n))])
+    assert all((back[c] == x).all() for c, x in rows.items())
+    place = {k: (rows["n"][k], rows["place"][k]) for k in range(n)}
+
+    def early(i, j):
+        (a, p), (b, q) = place[i], place[j]
+        overlap = -(-(a + b) * 80 // 180)
+        return 100 * min(a, b) >= 80 * max(a, b) and p <= a - overlap and q <= b - overlap
+
+    want = {(int(num[i]), int(num[j])) for i in range(n) for j in range(i + 1, n) if rows["h"][i] == rows["h"][j] and rows["label"][i] != rows["label"][j] and early(i, j)}
+    got = {(x, y) for a, b in near_dedup._cross(back, 80) for x, y in zip(a.tolist(), b.tolist(), strict=True)}
+    assert got == want and want
+
+
 @pytest.mark.parametrize("few", [100_000, 20, 0])
 def test_components(spark, monkeypatch, few):
     monkeypatch.setattr(near_dedup, "FEW_EDGES", few)
