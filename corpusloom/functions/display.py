@@ -63,7 +63,8 @@ def error_text(kind: Column, message: Column) -> Column:
 
 
 def joined_segments(segments: Column) -> Column:
-    return F.trim(F.array_join(F.transform(segments, F.trim), " "))
+    # not F.trim itself: it takes a second argument, which ``transform`` fills with the segment's place
+    return F.trim(F.array_join(F.transform(segments, lambda s: F.trim(s)), " "))
 
 
 #: Fixed value: the reply's other key.

@@ -119,6 +119,12 @@ def test_display(spark):
     assert [one(spark, D.is_absolute(F.col("p")), p=p) for p in ("C:/x", "/x", "x/y")] == [True, True, False]
 
 
+def test_segments_lose_spaces_only(spark):
+    # a segment's place in the list is not what its ends are stripped of
+    lines = ["007", " 1 and 1", "2x2 ", "", "5"]
+    assert one(spark, D.joined_segments(F.split("t", "\n")), t="\n".join(lines)) == "007 1 and 1 2x2  5"
+
+
 @pytest.mark.parametrize("reply,expected", [('{"prompts": ["a", 3, 1.5]}', ["a", "3", "1.5"]), ('{"جمل": ["b"]}', ["b"]), ('{"prompts": [], "جمل": ["b"]}', ["b"]), ("no json", []), ('{"prompts": "x"}', []), ("{}", [])])
 def test_reply(spark, reply, expected):
     assert one(spark, D.prompts_from_json(F.col("t")), t=reply) == expected
