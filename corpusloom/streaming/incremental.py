@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators.manifest import latest_by, pending
+from corpusloom.operators.manifest import latest_by
 from corpusloom.sources.jsonl import exists
 
 
@@ -71,14 +71,20 @@ def run_dedup(spark: SparkSession, path: str, state: str) -> DataFrame:
 
 
 def run_resume(spark: SparkSession, path: str, state: str) -> DataFrame:
-    """id, seq of the first entry of each id: a batch appends only ids that the log does not hold, so nothing is done twice."""
+    """id, seq of the first entry of each id: a batch appends only ids that the log does not hold, so nothing is done twice.
+
+    Files come in order of their modification times, not of seq. So a batch also appends an id that the
+    log holds with a later entry, and the first of the id's entries counts.
+    """
     at = f"{state}/table"
+    firsts = lambda rows, name="seq": rows.groupBy("id").agg(F.min("seq").alias(name))
 
     def handle(batch: DataFrame, n: int) -> None:
-        first = batch.groupBy("id").agg(F.min("seq").alias("seq"))
+        first = firsts(batch)
         if exists(spark, at):
-            first = pending(first, spark.read.parquet(at).where(F.col("batch") != n))
+            held = firsts(spark.read.parquet(at).where(F.col("batch") != n), "held")
+            first = first.join(held, "id", "left").where("held IS NULL OR seq < held").select("id", "seq")
         first.write.mode("overwrite").parquet(f"{at}/batch={n}")
 
     _drain(_events(spark, path), handle, state, "append")
-    return spark.read.parquet(at).select("id", "seq") if exists(spark, at) else spark.createDataFrame([], "id string, seq long")
+    return firsts(spark.read.parquet(at)) if exists(spark, at) else spark.createDataFrame([], "id string, seq long")

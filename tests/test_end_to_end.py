@@ -203,3 +203,13 @@ def test_streams_go_on(spark, tmp_path):
     assert {r["id"]: r["seq"] for r in latest} == {str(u): 30 + u for u in range(10)}
     assert len(pairs) == len({*pairs}) == len({(i % 10, i % 7) for i in range(40)})
     assert {r["id"]: r["seq"] for r in first} == {str(u): u for u in range(10)}
+
+
+def test_resume_finds_first_entries_in_any_order_of_files(spark, tmp_path):
+    path, state = str(tmp_path / "events.parquet"), str(tmp_path / "s")
+    make = lambda low, high: spark.range(low, high).select((F.col("id") % 10).alias("user_id"), F.lit("t").alias("event_type"), F.col("id").alias("event_id"))
+    for low, high in ((60, 90), (30, 67), (0, 5), (3, 40)):
+        make(low, high).coalesce(1).write.mode("append").parquet(path)
+        got = incremental.run_resume(spark, path, state).collect()
+        assert len(got) == 10
+    assert {r["id"]: r["seq"] for r in got} == {str(u): u for u in range(10)}
