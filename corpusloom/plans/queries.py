@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
 
 from corpusloom import config
 from corpusloom.config import Export
@@ -398,22 +396,26 @@ def log_overwrite(spark, d):
     return jsonl.read(spark, path, schema).select("id", "decision", "final_text", "note", F.col("seq").alias("first_seq"))
 
 
-@F.pandas_udf(BinaryType())
-def _clip(key: pd.Series) -> pd.Series:
+def _clip(key: Column) -> Column:
     """A clip of key % 5000 + 1 frames; every seventh is no WAV, every fifth has a longer header than usual."""
+    n_bytes = F.pmod(key, F.lit(5000)) * 2 + 2
+    longer = F.pmod(key, F.lit(5)) == 0
+    zeros = lambda n: F.repeat(F.lit("\0"), n.cast("int")).cast("binary")
+    ascii_hex = lambda x: F.lit(x.encode("ascii").hex())
 
-    def one(k: int) -> bytes:
-        if k % 7 == 0:
-            return b"RIFF" + bytes(k % 400)
-        plain = wav.encode(b"\0\0" * (k % 5000 + 1), 16000)
-        extra = b"LIST" + (4).to_bytes(4, "little") + b"INFO"
-        return plain if k % 5 else plain[:4] + (len(plain) + 4).to_bytes(4, "little") + plain[8:36] + extra + plain[36:]
+    def little_endian(x: Column) -> Column:
+        h = F.lpad(F.hex(x.cast("long")), 8, "0")
+        return F.concat(*[F.substring(h, at, 2) for at in (7, 5, 3, 1)])
 
-    return key.map(one)
+    fmt = F.concat(*map(little_endian, (F.lit(16), F.lit(1 + (1 << 16)), F.lit(16000), F.lit(32000), F.lit(2 + (16 << 16)))))  # PCM, one channel, 16 bits
+    extra = F.when(longer, F.concat(ascii_hex("LIST"), little_endian(F.lit(4)), ascii_hex("INFO"))).otherwise("")
+    whole = F.when(longer, n_bytes + 48).otherwise(n_bytes + 36)
+    head = F.concat(ascii_hex("RIFF"), little_endian(whole), ascii_hex("WAVEfmt "), fmt, extra, ascii_hex("data"), little_endian(n_bytes))
+    return F.when(F.pmod(key, F.lit(7)) == 0, F.concat(F.lit(b"RIFF"), zeros(F.pmod(key, F.lit(400))))).otherwise(F.concat(F.unhex(head), zeros(n_bytes)))
 
 
 def _clips(spark, d):
-    return roles.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), _clip("doc_id").alias("content"))
+    return roles.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), _clip(F.col("doc_id")).alias("content"))
 
 
 def wav_durations(spark, d):

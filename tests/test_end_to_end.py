@@ -48,6 +48,31 @@ def test_wav(spark, tmp_path):
     assert got["a.wav"]["duration_sec"] == 1.5 and got["a.wav"]["sample_rate"] == 16000 and got["b.wav"]["duration_sec"] == 0.5 and got["c.wav"]["duration_sec"] is None
 
 
+def test_wav_headers_alone_go_to_python(spark):
+    plain = wav.encode(b"\1\0" * 8000, 16000)
+    chunk = lambda n, tag=b"LIST", size=None: tag + (n if size is None else size).to_bytes(4, "little") + b"x" * n + b"\0" * (n % 2)
+    within = lambda *more: plain[:4] + (len(plain) - 8 + sum(map(len, more))).to_bytes(4, "little") + plain[8:36] + b"".join(more) + plain[36:]
+    files = {
+        "odd": within(chunk(5), chunk(4, b"data"[::-1])), "many": within(*[chunk(2)] * 40), "late": within(chunk(300)), "stereo": plain[:22] + b"\2" + plain[23:],
+        "beyond": within(chunk(2, size=10**6)), "past its size": plain[:4] + (40).to_bytes(4, "little") + plain[8:36] + chunk(60) + plain[36:], "cut": plain[:30], "none": b"RIFF" + bytes(9000), "empty": b"",
+    }
+    clips = spark.createDataFrame([*((k, bytearray(v)) for k, v in files.items()), ("null", None)], "path string, content binary")
+    got = {r["path"]: r["duration_sec"] for r in wav.durations(clips).collect()}
+    assert got == dict.fromkeys([*files, "null"]) | {"odd": 0.5, "many": 0.5, "late": 0.5, "stereo": 0.25}
+    sent = {r["path"]: r["n"] for r in clips.select("path", F.octet_length(wav.header(F.col("content"))).alias("n")).collect()}
+    assert sent == {"odd": 70, "many": len(files["many"]), "late": 352, "stereo": 44, "beyond": 12, "past its size": 112, "cut": 12, "none": 12, "empty": 0, "null": None}
+
+
+def test_clips_are_those_of_the_wave_module(spark):
+    from corpusloom.plans import queries
+
+    keys = [0, 1, 5, 7, 10, 399, 3999, 4999, 5000, 5001, 10**9 + 1, -3]
+    for r in spark.createDataFrame([(k,) for k in keys], "k long").select("k", queries._clip(F.col("k")).alias("c")).collect():
+        plain = wav.encode(b"\0\0" * (r["k"] % 5000 + 1), 16000)
+        longer = plain[:4] + (len(plain) + 4).to_bytes(4, "little") + plain[8:36] + b"LIST\4\0\0\0INFO" + plain[36:]
+        assert r["c"] == (b"RIFF" + bytes(r["k"] % 400) if r["k"] % 7 == 0 else plain if r["k"] % 5 else longer)
+
+
 def test_retry():
     calls = []
 
