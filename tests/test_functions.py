@@ -1,5 +1,7 @@
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,6 +121,23 @@ def test_display(spark):
     assert [one(spark, D.is_absolute(F.col("p")), p=p) for p in ("C:/x", "/x", "x/y")] == [True, True, False]
 
 
+def test_word_distance_of_odd_lists(spark):
+    lists = [[], ["a"], ["a", "", "a"], [None, "a"], ["", None], ["\u00e9", "e"], None, [f"w{i}" for i in range(60000)]]
+    pairs = [(i, r, h) for i, (r, h) in enumerate((r, h) for r in lists for h in lists if len(r or ()) + len(h or ()) < 60010)]
+    got = {r["i"]: r["d"] for r in spark.createDataFrame(pairs, "i int, r array<string>, h array<string>").select("i", rates.word_distance(F.col("r"), F.col("h")).alias("d")).collect()}
+    assert got == {i: _levenshtein(r or [], h or []) for i, r, h in pairs}
+
+
+def test_words_are_no_python_objects():
+    # 2000 pairs of 170 words
+    words = pa.array([[f"word{i % 997}_{j}" for j in range(85)] for i in range(2000)], pa.list_(pa.string()))
+    tracemalloc.start()
+    rates._as_characters.func(words, words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8e6
+
+
 def test_segments_lose_spaces_only(spark):
     # a segment's place in the list is not what its ends are stripped of
     lines = ["007", " 1 and 1", "2x2 ", "", "5"]
