@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # What counts as white space (Unicode, also U+001C to U+001F), as a word character, as a mark to drop.
 # White space is every separator and a few controls: few tests a character, so the expressions run fast.
@@ -23,14 +19,14 @@ FOLD_TO = "0123456789اااهي"
 SCRIPT = r"\u0600-\u06ff"
 
 
-@F.pandas_udf(StringType())
-def _nfc(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
-
-
 def nfc(text: Column, assume_nfc: bool = False) -> Column:
-    """Canonical composition; the only step that Spark lacks, so it can be skipped for sources known to be composed."""
-    return text if assume_nfc else _nfc(text)
+    """Canonical composition; can be skipped for sources known to be composed.
+
+    Spark has no function for it, but the ICU library that its collations need: no text goes to Python. Results are
+    those of ``unicodedata`` for all characters that its Unicode version has; newer ones are composed too.
+    """
+    composed = F.call_function("java_method", F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(False))
+    return text if assume_nfc else F.when(text.isNotNull(), composed)
 
 
 def squeeze(text: Column) -> Column:

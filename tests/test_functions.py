@@ -1,3 +1,4 @@
+import random
 import tracemalloc
 import unicodedata
 
@@ -138,6 +139,20 @@ def test_words_are_no_python_objects():
     assert peak < 8e6
 
 
+def test_texts_stay_out_of_python(spark):
+    for f in (T.nfc, T.text_hash, T.normalize_for_comparison):
+        df = spark.createDataFrame([("x",)], "t string").select(f(F.col("t")))
+        assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_composition_is_that_of_unicodedata(spark):
+    known = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) != "Cn"]
+    odd = [c for c in known if unicodedata.combining(c) or unicodedata.decomposition(c)]
+    rng = random.Random(0)
+    given = [*odd, *("".join(rng.choices(odd, k=6)) for _ in range(20000)), *(unicodedata.normalize("NFD", "".join(rng.choices(known, k=9))) for _ in range(5000)), "", None]
+    assert texts(spark, given, T.nfc) == [None if t is None else unicodedata.normalize("NFC", t) for t in given]
+
+
 def test_segments_lose_spaces_only(spark):
     # a segment's place in the list is not what its ends are stripped of
     lines = ["007", " 1 and 1", "2x2 ", "", "5"]
