@@ -5,6 +5,7 @@ import unicodedata
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.util import PythonEvalType
 
 from corpusloom.functions import display as D
 from corpusloom.functions import quantiles, rates
@@ -130,7 +131,8 @@ def test_word_distance_of_odd_lists(spark):
 
 
 def test_words_are_no_python_objects():
-    # 2000 pairs of 170 words
+    # a batch for pandas becomes lists of strings before the function is called
+    assert rates._as_characters.evalType == PythonEvalType.SQL_SCALAR_ARROW_UDF
     words = pa.array([[f"word{i % 997}_{j}" for j in range(85)] for i in range(2000)], pa.list_(pa.string()))
     tracemalloc.start()
     rates._as_characters.func(words, words)
